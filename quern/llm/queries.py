@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quern.llm import bpe, token_counts
+from quern.llm import bpe, packing, quality_classifier, quality_rules, token_counts
 from quern.llm.common import documents
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -22,8 +22,30 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(documents(spark, sf_dir), BYTE_BPE, limit=512)
 
 
+def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/labels.parquet")
+
+
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.apply_rules(documents(spark, sf_dir), labels(spark, sf_dir))
+
+
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier.classify(documents(spark, sf_dir), labels(spark, sf_dir))
+
+
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(documents(spark, sf_dir), WORD_BPE, capacity=2048)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_bpe_round_trip, op2_token_counts)}
+    return {f.__name__: f for f in [
+        op1_bpe_round_trip,
+        op2_token_counts,
+        op5_quality_rules,
+        op6_quality_classifier,
+        op8_best_fit_packing,
+    ]}
 
 
 def oracle_sql() -> dict[str, str]:
