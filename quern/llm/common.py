@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 
 _local_dir: str | None = None
+_written: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -41,10 +42,19 @@ def written(df: DataFrame, name: str) -> DataFrame:
     A lost executor costs a reread, never a recomputation of what led here.
     """
     path = fresh_path(df.sparkSession, name)
+    _written.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def drop_written(spark: SparkSession) -> None:
+    """Deletes the tables written so far. For callers that have stored all results that rest on them."""
+    jvm = spark._jvm
+    while _written:
+        path = jvm.org.apache.hadoop.fs.Path(_written.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quern.llm import bpe, lm_scoring, near_dedup, packing, quality_classifier, quality_rules, substring_dedup, token_counts
+from quern.llm import ann, bpe, line_dedup, lm_scoring, near_dedup, packing, quality_classifier, quality_rules, substring_dedup, token_counts
 from quern.llm.common import documents
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -26,6 +27,10 @@ def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/labels.parquet")
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_digests(documents(spark, sf_dir))
+
+
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.removal_digests(documents(spark, sf_dir), size=50)
 
@@ -50,17 +55,24 @@ def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.train_and_score(documents(spark, sf_dir))
 
 
+def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), k=10, query_every=100)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in [
+    named = [
         op1_bpe_round_trip,
         op2_token_counts,
+        op3_line_dedup,
         op4_substring_dedup,
         op5_quality_rules,
         op6_quality_classifier,
         op7_near_dedup,
         op8_best_fit_packing,
         op9_lm_scoring,
-    ]}
+        op10_nearest_neighbours,
+    ]
+    return {f.__name__: f for f in named} | {"pipeline": corpus_pipeline.run}
 
 
 WORDS_SQL = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
