@@ -273,9 +273,14 @@ class WordEncoder:
         self.split = re.compile("(" + "|".join(map(re.escape, self.table.special)) + ")") if self.table.special else None
 
     def pieces(self, text: str) -> list[str]:
-        if not text.isascii():
-            text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
-        text = text.lower()
+        if text.isascii():
+            text = text.lower()
+            if text.isalpha():
+                return [text]
+            if text[:-1].isalpha():
+                return [text[:-1], text[-1]]
+            return self._fast.findall(text) if not _SEPARATORS.search(text) else self._full.findall(text)
+        text = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
         return (self._full if _PLAIN.search(text) else self._fast).findall(text)
 
     def _learn(self, new: list[str]) -> None:
