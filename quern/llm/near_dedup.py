@@ -12,6 +12,7 @@ within one component need no test, so a large group of copies costs rows in prop
 from __future__ import annotations
 
 import math
+from typing import Any
 
 import numpy as np
 import pandas as pd
@@ -25,10 +26,10 @@ from quern.llm.components import connected_components
 
 #: Rows of a band; and the share of pairs right at the threshold that may share no band at all.
 BAND_ROWS, BAND_MISS = 4, 1e-5
-#: Samples and bits of an odd sketch.
-SAMPLES, SKETCH_BITS = 512, 2048
-#: A pair is tested on full sets if its estimate is at least the threshold less this (over four deviations).
-MARGIN = 0.10
+#: Bins that give one sample each, and bits of an odd sketch.
+SAMPLES, SKETCH_BITS = 4096, 4096
+#: A pair is tested on full sets unless its sketches differ by this many deviations more than at the threshold.
+DEVIATIONS = 3.5
 #: Members of a bucket that one task compares with as many others.
 BLOCK = 1_500
 #: Partners that a member proposes in each round, likeliest first.
@@ -108,11 +109,20 @@ def _xor_count(a: str, b: str) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
 
 
-def most_different(threshold: float, n_samples: np.ndarray | int = SAMPLES) -> float:
-    """The XOR count expected at the threshold less the margin: m samples of which a share of
-    (1 - t) differ flip 2 m (1 - t) bits, some of them twice."""
-    flips = 2 * n_samples * (1 - (threshold - MARGIN))
-    return SKETCH_BITS / 2 * (1 - np.exp(-2 * flips / SKETCH_BITS))
+def most_different(n_a, n_b, threshold: float, m=np):
+    """The XOR count up to which sets of these sizes may reach the threshold; of numbers or columns.
+
+    A bin of the union differs with chance 1 - t. It then flips one bit, and a second if the other set
+    has a sample there too. Bins that hold more than one hash add sampling noise, and parities hide
+    part of the flips.
+    """
+    n = (n_a + n_b) * 0.5
+    fill = n * (2 / (1 + threshold) / SAMPLES)
+    flips = (1 - m.exp(-fill)) * (SAMPLES * (1 - threshold)) * (2 - m.exp(-n * (1 / SAMPLES)))
+    hidden = m.exp(flips * (4 / SKETCH_BITS))
+    variance = flips * 2 * (1 - m.exp(-n * (1 / SAMPLES))) + (hidden - 1) * (SKETCH_BITS / 4) - flips
+    most = flips + m.sqrt(variance) * DEVIATIONS + 1
+    return (1 - m.exp(-most * (2 / SKETCH_BITS))) * (SKETCH_BITS / 2)
 
 
 def confirmed(pairs: DataFrame, classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -121,7 +131,7 @@ def confirmed(pairs: DataFrame, classes: DataFrame, sets: DataFrame, percent: in
     near = (
         pairs.join(side.toDF("a", "n_a", "sketch_a"), "a")
         .join(side.toDF("b", "n_b", "sketch_b"), "b")
-        .where((100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")) & (_xor_count("sketch_a", "sketch_b") <= float(most_different(percent / 100))))
+        .where((100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")) & (_xor_count("sketch_a", "sketch_b") <= most_different(F.col("n_a"), F.col("n_b"), percent / 100, F)))
         .select("a", "b")
     )
     both = near.join(sets.toDF("a", "set_a"), "a").join(sets.toDF("b", "set_b"), "b")
@@ -129,28 +139,37 @@ def confirmed(pairs: DataFrame, classes: DataFrame, sets: DataFrame, percent: in
     return both.select("a", "b", (100 * common >= percent * (F.size("set_a") + F.size("set_b") - common)).alias("linked"))
 
 
-def _proposals(members: DataFrame, percent: int, partners: int) -> DataFrame:
-    """a, b, more: for the members of mixed buckets outside the bucket's largest component, the
-    likeliest partners in other components; ``more`` says that some had to wait for a later round."""
-    limit = float(most_different(percent / 100))
+def _proposals(members: DataFrame, percent: int, before: int, partners: int) -> DataFrame:
+    """a, b, more: for the members of mixed buckets those of their partners of rank ``before`` to
+    ``partners`` that lie in other components; ``more`` says that some wait for a later round.
+
+    Ranks are the same in each round, so over the rounds every pair has its turn once at most for
+    either side.
+    """
     empty = pd.DataFrame({"a": np.zeros(0, np.int64), "b": np.zeros(0, np.int64), "more": np.zeros(0, bool)})
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+    def run(key: tuple[Any, ...], pdf: pd.DataFrame) -> pd.DataFrame:
         comp = pdf["component"].to_numpy(np.int64)
-        names, at, n = np.unique(comp, return_inverse=True, return_counts=True)
-        if len(names) < 2:
+        if (comp == comp[0]).all():
             return empty
+        own, apart = pdf["own"].to_numpy(np.int64), key[1] != key[2]
         ids, size = pdf["id"].to_numpy(np.int64), pdf["n_shingles"].to_numpy(np.int64)
-        bits = np.stack(pdf["sketch"].to_numpy()).view(np.uint64)
-        out = []
-        for k in np.flatnonzero(at != n.argmax()).tolist():
-            d = np.bitwise_count(bits ^ bits[k]).sum(axis=1, dtype=np.int64)
-            fits = (comp != comp[k]) & (d <= limit) & (100 * np.minimum(size, size[k]) >= percent * np.maximum(size, size[k]))
-            who = np.flatnonzero(fits)
-            best = who[np.argsort(d[who], kind="stable")[:partners]]
-            if len(best):
-                out.append(pd.DataFrame({"a": np.minimum(ids[k], ids[best]), "b": np.maximum(ids[k], ids[best]), "more": len(who) > partners}))
-        return pd.concat(out) if out else empty
+        bits, bands = np.stack(pdf["sketch"].to_numpy()).view(np.uint64), np.stack(pdf["bands"].to_numpy())
+        out, waits = [], False
+        for k in range(len(ids)):
+            who = np.flatnonzero((own != own[k] if apart else ids != ids[k]) & (100 * np.minimum(size, size[k]) >= percent * np.maximum(size, size[k])))
+            # a pair belongs to the first of the buckets that it shares
+            who = who[bands[k][(bands[who] == bands[k]).argmax(axis=1)] == key[0]]
+            d = np.bitwise_count(bits[who] ^ bits[k]).sum(axis=1, dtype=np.int64)
+            fits = d <= most_different(size[who], size[k], percent / 100)
+            who, d = who[fits], d[fits]
+            turn = who[np.argsort(d, kind="stable")[before:partners]]
+            turn = turn[comp[turn] != comp[k]]
+            out.append(pd.DataFrame({"a": np.minimum(ids[k], ids[turn]), "b": np.maximum(ids[k], ids[turn])}))
+            waits |= bool((comp[who] != comp[k]).any()) and len(who) > partners
+        if waits:  # a pair of one class with itself, so that the word gets through
+            out.append(pd.DataFrame({"a": ids[:1], "b": ids[:1]}))
+        return pd.concat(out).drop_duplicates().assign(more=waits)
 
     return members.groupBy("key", "i", "j").applyInPandas(run, "a long, b long, more boolean")
 
@@ -163,16 +182,16 @@ def link_classes(classes: DataFrame, sets_of, percent: int) -> DataFrame:
     sets = written(sets_of(shared.select("id").distinct()), "sets")
     tested = written(confirmed(shared.where("id != hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct(), classes, sets, percent), "tested")
     components = written(connected_components(tested.where("linked")), "components")
-    for partners in PARTNERS:
+    for before, partners in zip((0, *PARTNERS), PARTNERS, strict=False):
         known = shared.where("n > 2").join(components.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
         mixed_keys = known.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi").select("key")
         blocks = F.ceil(F.col("n") / BLOCK)
         own = F.pmod(F.xxhash64("id"), blocks)
         # each pair of blocks of a bucket is one group; a bucket of one block is one group
         spread = known.join(mixed_keys, "key").withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-        members = spread.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "id", "component").join(classes.select("id", "n_shingles", "sketch"), "id")
-        offered = written(_proposals(members, percent, partners), "offered")
-        fresh = offered.select("a", "b").distinct().join(tested.select("a", "b"), ["a", "b"], "left_anti")
+        members = spread.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "id", "component").join(classes.select("id", "n_shingles", "sketch", "bands"), "id")
+        offered = written(_proposals(members, percent, before, partners), "offered")
+        fresh = offered.where("a != b").select("a", "b").distinct().join(tested.select("a", "b"), ["a", "b"], "left_anti")
         now = written(confirmed(fresh, classes, sets, percent), "tested")
         waiting = offered.where("more").limit(1).count()
         if now.where("linked").limit(1).count():

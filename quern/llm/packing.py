@@ -9,6 +9,7 @@ anew among those partitions and packed again, as long as that saves sequences.
 from __future__ import annotations
 
 import zlib
+from typing import Any
 
 import numpy as np
 import pandas as pd
@@ -95,7 +96,7 @@ def least_bins(lengths: np.ndarray, capacity: int) -> int:
 def _packed(dealt: DataFrame, capacity: int) -> DataFrame:
     """Packs each ``part``; ``n_bins`` and ``bound`` stand in each of its rows."""
 
-    def run(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def run(key: tuple[Any, ...], pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("uid", kind="stable")  # the same packing in each attempt of a task
         lengths = pdf["length"].to_numpy(np.int64)
         bins, offsets, made = best_fit(lengths, capacity)
