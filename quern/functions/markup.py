@@ -10,6 +10,7 @@ from urllib.parse import urljoin
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Elements whose text is not content; where content is looked for, best first.
 DROPPED = {"script", "style", "noscript", "svg", "nav", "footer", "form"}
@@ -52,7 +53,7 @@ def visible_text(source: str) -> str:
     return "\n".join(x for x in lines if x)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def html_text(pages: pd.Series) -> pd.Series:
     """Visible text of each page."""
     return pages.map(lambda s: None if s is None else visible_text(s))
@@ -68,7 +69,7 @@ class _Attribute(HTMLParser):
             self.value = dict(attrs).get(self.name)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def data_page(pages: pd.Series) -> pd.Series:
     """The first ``data-page`` attribute, entities resolved; null if there is none."""
 
@@ -115,19 +116,19 @@ def linked_nodes(source: str) -> list[str]:
     return out
 
 
-@F.pandas_udf("array<string>")
+@F.pandas_udf(T.ArrayType(T.StringType()))
 def json_ld(pages: pd.Series) -> pd.Series:
     """Linked-data objects of each page."""
     return pages.map(lambda s: linked_nodes(s or ""))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def joined_url(base: pd.Series, link: pd.Series) -> pd.Series:
     """A link resolved against its page."""
     return pd.Series([None if b is None or x is None else urljoin(b, x) for b, x in zip(base, link, strict=True)])
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def unescaped(texts: pd.Series) -> pd.Series:
     """Character entities resolved."""
     return texts.map(lambda s: None if s is None else html.unescape(s))

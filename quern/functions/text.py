@@ -8,6 +8,7 @@ from difflib import SequenceMatcher
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Phrases that mark a text as relevant.
 RELEVANT_PHRASES = [
@@ -127,7 +128,7 @@ def normalized_ascii_name(name: Column) -> Column:
     return F.regexp_replace(words, rf"(?:^| )(?:{'|'.join(LEGAL_FORMS)})(?: (?:{'|'.join(LEGAL_FORMS)}))*$", "")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def folded(names: pd.Series) -> pd.Series:
     """Compatibility composition and case folding, for which the JVM has no expression."""
     return names.map(lambda s: None if s is None else unicodedata.normalize("NFKC", s).casefold())
@@ -149,7 +150,7 @@ def block_keys(normalized: Column) -> Column:
     return F.when(compact == "", F.array().cast("array<string>")).otherwise(keys)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def similarity(a: pd.Series, b: pd.Series) -> pd.Series:
     """Twice the matching characters over all, matching blocks longest first. Order matters slightly."""
     return pd.Series([None if x is None or y is None else SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b, strict=True)])

@@ -6,14 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from quern.plans import records
+
+MODULES = [records]
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    return {f.__name__: f for m in MODULES for f in m.QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {k: v for m in MODULES for k, v in m.SQL.items()}
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/pages.parquet")
+    return records.quality_report(spark, sf_dir)
