@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quern.plans import records
+from quern.plans import records, tables, values
 
-MODULES = [records]
+MODULES = [records, values, tables]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
