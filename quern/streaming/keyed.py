@@ -48,30 +48,23 @@ def run_available(stream: DataFrame, batch: Callable[[DataFrame, int], None], ch
     return query.lastProgress["batchId"] if query.lastProgress else -1
 
 
-def leased(stream: DataFrame, key: str, lease_ms: int = 120_000, max_attempts: int = 4) -> DataFrame:
+def leased(stream: DataFrame, key: str, max_attempts: int = 4) -> DataFrame:
     """key, status, attempts: items (key, outcome) as a state machine with one state per key.
 
-    Outcomes are null (claimed), ``ok`` or ``error``. Done and dead items take no more; an item whose
-    lease runs out is pending again.
+    Outcomes are ``claimed``, ``expired`` (a lease ran out), ``ok`` or ``error``. A claim and a failure
+    without one each count as an attempt. Done and dead items take no more.
     """
 
     def step(k, batches, state: GroupState):
-        if state.hasTimedOut:
-            status, attempts = state.get
-            state.update(("PENDING" if status == "LEASED" else status, attempts))
-            yield pd.DataFrame({key: [k[0]], "status": [state.get[0]], "attempts": [attempts]})
-            return
         status, attempts = state.get if state.exists else ("PENDING", 0)
         for pdf in batches:
             for outcome in pdf["outcome"]:
                 if status in ("DONE", "DEAD"):
                     break
-                attempts += 1
-                status = "DONE" if outcome == "ok" else "LEASED" if outcome is None else "PENDING" if attempts < max_attempts else "DEAD"
+                attempts += status != "LEASED"
+                status = {"claimed": "LEASED", "ok": "DONE"}.get(outcome) or ("PENDING" if attempts < max_attempts else "DEAD")
         state.update((status, attempts))
-        if status == "LEASED":
-            state.setTimeoutDuration(lease_ms)
         yield pd.DataFrame({key: [k[0]], "status": [status], "attempts": [attempts]})
 
     kind = stream.schema[key].dataType.simpleString()
-    return stream.groupBy(key).applyInPandasWithState(step, f"{key} {kind}, status string, attempts int", "status string, attempts int", "update", GroupStateTimeout.ProcessingTimeTimeout)
+    return stream.groupBy(key).applyInPandasWithState(step, f"{key} {kind}, status string, attempts int", "status string, attempts int", "update", GroupStateTimeout.NoTimeout)
