@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -130,12 +129,16 @@ def need(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*[F.col(f"`{n}`") for n in names])
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """The name, or one like it that no column has, in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def local_path(uri: str) -> str | None:
     """The mounted path of a ``file:`` URI or a plain path; None for other stores."""
     if uri.startswith("file:"):
         return "/" + uri[5:].lstrip("/")
     return uri if uri.startswith("/") or "://" not in uri else None
-
-
-def path_exists(path: str) -> bool:
-    return os.path.exists(path)

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quern.llm.common import as_long, map_batches, mixed, need, word_hashes, words, written
+from quern.llm.common import as_long, free_name, map_batches, mixed, need, word_hashes, words, written
 
 #: Base of the rolling hash, an odd number of 64 bits; arithmetic is modulo 2**64.
 BASE = 0x9E3779B97F4A7C15
@@ -95,8 +95,8 @@ def repeated_starts(docs: DataFrame, size: int) -> DataFrame:
     return windows.join(first, "window").where("first < doc_id").groupBy("doc_id").agg(F.collect_set("start").alias("starts"))
 
 
-def _with_starts(docs: DataFrame, size: int) -> DataFrame:
-    return docs.join(repeated_starts(docs, size), "doc_id", "left")
+def _with_starts(docs: DataFrame, size: int, name: str) -> DataFrame:
+    return docs.join(repeated_starts(docs, size).withColumnRenamed("starts", name), "doc_id", "left")
 
 
 def _cut(text: str | None, starts, size: int) -> tuple[list[bytes], int, list[bytes]]:
@@ -131,7 +131,7 @@ def removal_digests(docs: DataFrame, size: int) -> DataFrame:
             digest.append(hashlib.sha256(b" ".join(kept)).hexdigest())
         return pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(digest)], ["doc_id", "n_words", "n_removed", "kept_sha256"])
 
-    return map_batches(_with_starts(chosen, size).select("doc_id", "text", "starts"), run, "doc_id long, n_words long, n_removed long, kept_sha256 string")
+    return map_batches(_with_starts(chosen, size, "starts").select("doc_id", "text", "starts"), run, "doc_id long, n_words long, n_removed long, kept_sha256 string")
 
 
 def remove_repeats(docs: DataFrame, size: int) -> DataFrame:
@@ -141,7 +141,8 @@ def remove_repeats(docs: DataFrame, size: int) -> DataFrame:
     they are, character for character.
     """
     names = docs.columns
-    joined = _with_starts(docs, size).select(*[F.col(f"`{c}`") for c in names], F.col("starts"))
+    starts = free_name(docs, "starts")
+    joined = _with_starts(docs, size, starts).select(*[F.col(f"`{c}`") for c in names], F.col(starts))
     where = names.index("text")
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
