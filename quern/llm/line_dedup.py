@@ -1,11 +1,11 @@
 """Fuzzy line deduplication in DataFrame operations only.
 
-A line's set holds its character shingles of twelve characters that begin at a word (in scripts
-outside Latin, Greek and the like, at any character). Equal lines meet by hash first; distinct lines
-get MinHash signatures over their shingles, three values to a band, ten bands. Lines that share a band
+A line's set holds the shingles of eight characters at each of its characters; a shorter line is one
+shingle. Equal lines meet by hash first; distinct lines get MinHash signatures over their shingles,
+three values to a band, ten bands. Lines that share a band
 share a bucket. Each bucket's least line is compared with the others, then hubs drawn anew where a
 bucket still holds several components (another one in each bucket), and at last all pairs that no component joins and no test
-has settled. Jaccard on full sets decides; a distributed union-find makes components; of each, only
+has settled. Parity sketches put aside pairs far from the threshold; Jaccard on full sets decides; a distributed union-find makes components; of each, only
 the first occurrence of its lines stays.
 """
 
@@ -21,13 +21,15 @@ from quern.llm.components import connected_components
 PERCENT = 80
 #: A pair at the threshold misses all ten bands of three with chance 0.0008, one at 0.9 with 0.000002.
 BANDS, ROWS = 10, 3
+#: Places on the ring of 64-bit hashes, evenly apart.
+ANCHORS = [-(1 << 63) + (2 * k + 1) * ((1 << 63) // (BANDS * ROWS)) for k in range(BANDS * ROWS)]
 #: Rounds in which hubs are drawn anew before what is left is compared pair by pair.
 HUB_ROUNDS = 3
 #: Up to this many candidate lines travel by broadcast (8 bytes each); more, by a shuffle join.
 BROADCAST_IDS = 250_000
 
 _BLANK = r" \t\x0B\f\r"
-_SHINGLES = rf"(?s)(?:^|[{_BLANK}]|(?<=[^\x00-˿]))(?=([^{_BLANK}].{{0,11}}))"
+_SHINGLES = r"(?s)(?=(.{8}))"
 
 
 def occurrences(docs: DataFrame) -> DataFrame:
@@ -38,17 +40,23 @@ def occurrences(docs: DataFrame) -> DataFrame:
 
 
 def shingle_set(line: str) -> Column:
-    """Distinct hashes of a line's shingles."""
-    return F.array_distinct(F.transform(F.regexp_extract_all(line, F.lit(_SHINGLES), 1), lambda x: F.xxhash64(x)))
+    """Distinct hashes of a line's shingles, in order."""
+    found = F.transform(F.regexp_extract_all(line, F.lit(_SHINGLES), 1), lambda x: F.xxhash64(x))
+    return F.array_sort(F.array_distinct(F.when(F.length(line) < 8, F.array(F.xxhash64(line))).otherwise(found)))
 
 
-def band_keys(hashes: str) -> Column:
-    """One key per band. XOR with a constant orders random hashes anew: its least is a MinHash."""
-    keys = []
-    for b in range(BANDS):
-        least = [F.array_min(F.transform(hashes, lambda x, c=F.xxhash64(F.lit(b), F.lit(r)): x.bitwiseXOR(c))) for r in range(ROWS)]
-        keys.append(F.xxhash64(F.lit(b), *least))
-    return F.array(*keys)
+def band_keys(hashes: str, marked: str) -> Column:
+    """One key per band of the ordered ``hashes``; ``marked`` is these and ANCHORS, in order.
+
+    The hashes form a ring. From an anchor on, the first is a MinHash: turning the ring orders random
+    hashes anew. An anchor's place in ``marked``, less the anchors before it, is its place in the ring.
+    """
+    least = []
+    for k, anchor in enumerate(ANCHORS):
+        below = F.array_position(marked, F.lit(anchor).cast("long")) - 1 - k
+        least.append(F.element_at(hashes, (below % F.size(hashes) + 1).cast("int")))
+    # neighbouring anchors may meet the same hash in a small set: a band takes distant ones
+    return F.array(*[F.xxhash64(F.lit(b), *least[b::BANDS]) for b in range(BANDS)])
 
 
 def parities(hashes: str) -> Column:
@@ -68,13 +76,15 @@ def _may_link(n_a: str, n_b: str, odd_a: str, odd_b: str) -> Column:
     return (100 * F.least(n_a, n_b) >= PERCENT * F.greatest(n_a, n_b)) & (apart <= (1 - F.exp(most * (-2 / 512))) * 256)
 
 
-def _tested(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """a, b, linked."""
-    sets = sets.select("id", "shingles")
-    both = pairs.join(sets.toDF("a", "set_a"), "a").join(sets.toDF("b", "set_b"), "b")
-    common = F.size(F.array_intersect("set_a", "set_b"))
-    linked = 100 * common >= PERCENT * (F.size("set_a") + F.size("set_b") - common)
-    return written(both.select("a", "b", linked.alias("linked")), "tested")
+def _tested(pairs: DataFrame, sketches: DataFrame, texts: DataFrame) -> DataFrame:
+    """a, b, linked. Lines travel as texts, which are smaller than their sets, and only where sketches allow a link."""
+    a, b = sketches.toDF("a", "m_a", "odd_a"), sketches.toDF("b", "m_b", "odd_b")
+    near = written(pairs.join(a, "a").join(b, "b").select("a", "b", _may_link("m_a", "m_b", "odd_a", "odd_b").alias("near")), "near")
+    both = near.where("near").join(texts.toDF("a", "line_a"), "a").join(texts.toDF("b", "line_b"), "b")
+    sets = both.select("a", "b", shingle_set("line_a").alias("set_a"), shingle_set("line_b").alias("set_b"))
+    sized = sets.select("a", "b", F.size("set_a").alias("m_a"), F.size("set_b").alias("m_b"), F.size(F.array_intersect("set_a", "set_b")).alias("common"))
+    linked = sized.select("a", "b", (100 * F.col("common") >= PERCENT * (F.col("m_a") + F.col("m_b") - F.col("common"))).alias("linked"))
+    return written(linked.unionByName(near.where("not near").select("a", "b", F.lit(False).alias("linked"))), "tested")
 
 
 def _pair(x: str, y: str) -> list[Column]:
@@ -90,9 +100,9 @@ def line_components(docs: DataFrame, lines: DataFrame) -> DataFrame:
     hubs = shared.join(degree, "id").groupBy("key").agg(F.max(F.struct("degree", "id"))["id"].alias("hub"))
     wanted = shared.select("id").distinct()
     wanted = F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted
-    texts = occurrences(docs).select("id", "line").join(wanted, "id", "left_semi").dropDuplicates(["id"])
-    sets = written(texts.select("id", shingle_set("line").alias("shingles")).select("id", "shingles", F.size("shingles").alias("m"), parities("shingles").alias("odd")), "sets")
-    tested = _tested(shared.join(hubs, "key").where("id != hub").select(*_pair("id", "hub")).distinct(), sets)
+    texts = written(occurrences(docs).select("id", "line").join(wanted, "id", "left_semi").dropDuplicates(["id"]), "texts")
+    sketches = written(texts.select("id", shingle_set("line").alias("shingles")).select("id", F.size("shingles").alias("m"), parities("shingles").alias("odd")), "sketches")
+    tested = _tested(shared.join(hubs, "key").where("id != hub").select(*_pair("id", "hub")).distinct(), sketches, texts)
     components = written(connected_components(tested.where("linked")), "components")
     for k in range(HUB_ROUNDS + 1):
         known = shared.where("n > 2").join(components.withColumnRenamed("node", "id"), "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
@@ -100,13 +110,13 @@ def line_components(docs: DataFrame, lines: DataFrame) -> DataFrame:
         if k < HUB_ROUNDS:
             pairs = known.join(split, "key").where("component != drawn.component").select(*_pair("id", "drawn.id"))
         else:
-            members = written(known.join(split.select("key"), "key").join(sets.select("id", "m", "odd"), "id").select("key", "id", "component", "m", "odd"), "members")
+            members = written(known.join(split.select("key"), "key").join(sketches, "id").select("key", "id", "component", "m", "odd"), "members")
             x, y = members.toDF("key", "x", "cx", "mx", "ox"), members.toDF("key", "y", "cy", "my", "oy")
             pairs = x.hint("merge").join(y, (x["key"] == y["key"]) & (F.col("cx") < F.col("cy")) & _may_link("mx", "my", "ox", "oy")).select(*_pair("x", "y"))
         pairs = written(pairs.distinct().join(tested.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
         if not pairs.limit(1).count():
             continue
-        tested = tested.unionByName(_tested(pairs, sets))
+        tested = tested.unionByName(_tested(pairs, sketches, texts))
         components = written(connected_components(tested.where("linked")), "components")
     return components.withColumnRenamed("node", "id")
 
@@ -117,8 +127,10 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     First means of least document id, then of least place. Lines differ if any character does, but
     for 64-bit hash collisions.
     """
-    found = occurrences(docs).withColumn("hashes", shingle_set("line")).select("id", "doc_id", "pos", band_keys("hashes").alias("bands"))
-    lines = written(found.groupBy("id").agg(F.min(F.struct("doc_id", "pos")).alias("at"), F.count("*").alias("n"), F.first("bands").alias("bands")), "lines")
+    found = occurrences(docs).groupBy("id").agg(F.min(F.struct("doc_id", "pos")).alias("at"), F.count("*").alias("n"), F.first("line").alias("line"))
+    hashed = found.select("id", "at", "n", shingle_set("line").alias("hashes"))
+    marked = hashed.withColumn("marked", F.array_sort(F.concat("hashes", F.array(*[F.lit(a).cast("long") for a in ANCHORS]))))
+    lines = written(marked.select("id", "at", "n", band_keys("hashes", "marked").alias("bands")), "lines")
     components = written(line_components(docs, lines), "components")
     firsts = lines.select("id", "at").join(components, "id").groupBy("component").agg(F.min("at").alias("keep"))
     several = lines.select("id", "at", "n").join(components.join(firsts, "component").select("id", "keep"), "id", "left").where("n > 1 or keep is not null")

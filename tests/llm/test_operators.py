@@ -211,6 +211,30 @@ def test_line_dedup(docs, empty):
     assert line_dedup.line_digests(empty).count() == 0
 
 
+def line_sets(line):
+    return {line[i : i + 8] for i in range(max(1, len(line) - 7))}
+
+
+def test_line_dedup_against_brute_force(spark):
+    r = random.Random(11)
+    letters = "abcdefghijklmnopqrstuvwxyz0123456789"
+    solid = ["".join(r.choice(letters) for _ in range(n)) for n in (30, 60, 90, 120, 200, 400)]
+    lines = ["https://example.com/a/1", "https://example.com/zzz/999", "中文没有空格的一行" * 4 + "一", "short", "shorT", "12345678", "12345679"]
+    for x in [*solid, LINE]:
+        at = len(x) // 2
+        lines += [x, x[:at] + "_" + x[at + 1 :], x[:at] + x[at + 1 :], x[:12] + "".join(r.choice(letters) for _ in x[12:])]
+    comp = list(range(len(lines)))
+    for i, x in enumerate(lines):
+        for j in range(i):
+            a, b = line_sets(x), line_sets(lines[j])
+            if 100 * len(a & b) >= 80 * len(a | b):
+                low, high = sorted((comp[i], comp[j]))
+                comp = [low if c == high else c for c in comp]
+    got = line_dedup.line_digests(spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")).collect()
+    assert {x.doc_id: x.n_removed for x in got} == {i: int(c != i) for i, c in enumerate(comp)}
+    assert 0 < sum(x.n_removed for x in got) < len(lines) // 2
+
+
 def test_packing(docs, empty):
     lib = Tokenizer.from_file(queries.WORD_BPE)
     for capacity in (64, 2048):
