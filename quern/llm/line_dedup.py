@@ -67,13 +67,17 @@ def parities(hashes: str) -> Column:
 
 
 def _may_link(n_a: str, n_b: str, odd_a: str, odd_b: str) -> Column:
-    """The sketches differ by no more than those of sets at the threshold do, and 3.5 deviations."""
+    """The sketches differ by no more than those of sets at the threshold do, and 3.5 deviations.
+
+    Mean and deviation are those of the count of odd parities: sketches of very long lines, which
+    saturate at a mean of 256, never rule a pair out.
+    """
     t = PERCENT / 100
     flips = (F.col(n_a) + F.col(n_b)) * ((1 - t) / (1 + t))
-    noise = F.greatest(F.lit(0.0), (F.exp(F.least(flips * (4 / 512), F.lit(40.0))) - 1) * 128 - flips)
-    most = flips + F.sqrt(noise) * 3.5 + 1
+    left = F.exp(flips * (-4 / 512))
+    most = (1 - F.sqrt(left)) * 256 + F.sqrt(F.greatest(F.lit(0.0), (1 - left) * 128 - flips * left)) * 3.5 + 1
     apart = F.aggregate(F.zip_with(odd_a, odd_b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
-    return (100 * F.least(n_a, n_b) >= PERCENT * F.greatest(n_a, n_b)) & (apart <= (1 - F.exp(most * (-2 / 512))) * 256)
+    return (100 * F.least(n_a, n_b) >= PERCENT * F.greatest(n_a, n_b)) & (apart <= most)
 
 
 def _tested(pairs: DataFrame, sketches: DataFrame, texts: DataFrame) -> DataFrame:
