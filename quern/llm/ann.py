@@ -3,7 +3,8 @@
 A fast Hadamard pseudo-rotation spreads each unit vector over all axes; its hash is the nearest signed
 axis. Hashes of several rotations join up until a bucket holds a bounded number of vectors on average,
 whatever the input's size; the last one uses fewer axes to meet that number. Queries probe the likeliest
-buckets of each table. Equal vectors are indexed once with the few ids that a result can show.
+buckets of each table: as many as it takes to find a bounded sample of queries' true neighbours, which
+one pass over all vectors gives. Equal vectors are indexed once with the few ids that a result can show.
 """
 
 from __future__ import annotations
@@ -17,8 +18,10 @@ from pyspark.sql import functions as F
 
 from quern.llm.common import mixed, written
 
-#: Tables, probes of a query in each, and distinct vectors that a bucket holds on average.
+#: Tables, least probes of a query in each, and distinct vectors that a bucket holds on average.
 TABLES, PROBES, BUCKET = 6, 24, 320
+#: Queries of each dimension whose true neighbours set the probes, and the share of them to be found.
+SAMPLE, RECALL = 100, 0.95
 #: Index vectors that one task compares with a bucket's queries; larger buckets are split.
 BLOCK = 4_000
 
@@ -66,8 +69,16 @@ class CrossPolytope:
             key = key * v.shape[1] + v.argmax(axis=1)
         return key
 
+    @property
+    def n_buckets(self) -> int:
+        return math.prod(2 * a for a in self.axes)
+
     def probes(self, vectors: np.ndarray, table: int, n: int) -> np.ndarray:
         """The n buckets whose axes together lie nearest, for each vector (-1 where there are fewer)."""
+        step = max(1, (1 << 22) // (n * 2 * self.d))
+        return np.concatenate([self._probes(vectors[i : i + step], table, n) for i in range(0, len(vectors), step)])
+
+    def _probes(self, vectors: np.ndarray, table: int, n: int) -> np.ndarray:
         rows = np.arange(len(vectors))[:, None]
         keys, cost = np.zeros((len(vectors), 1), np.int64), np.zeros((len(vectors), 1))
         for v in self.values(vectors, table):
@@ -86,13 +97,70 @@ def usable(vectors: DataFrame) -> DataFrame:
     return vectors.select(F.col("vec_id").alias("id"), F.col("embedding").alias("v")).where(F.col("id").isNotNull() & F.col("v").isNotNull()).where(finite & F.exists("v", lambda x: x != 0))
 
 
+def true_neighbours(index: DataFrame, asked: list, k: int) -> list:
+    """query_id, query, v of the k nearest of all, for a bounded list of queries (id, v, dim)."""
+    kind = index.schema["v"].dataType.simpleString()
+
+    def run(batches):
+        for pdf in batches:
+            for dim, part in pdf.groupby("dim"):
+                x = np.stack(part["v"].to_numpy()).astype(np.float64)
+                members, v = part["ids"].to_numpy(), part["v"].to_numpy()
+                out = []
+                for r in asked:
+                    if r.dim == dim:
+                        d = np.sqrt(((x - np.asarray(r.v, np.float64)) ** 2).sum(axis=1))
+                        edge = np.partition(d, k)[k] if len(d) > k + 1 else np.inf
+                        out += sorted(((r.id, d[j], int(i), j) for j in np.flatnonzero(d <= edge).tolist() for i in members[j] if i != r.id), key=lambda y: y[1:3])[:k]
+                yield pd.DataFrame({"query_id": [o[0] for o in out], "score": [o[1] for o in out], "vec_id": [o[2] for o in out], "v": [v[o[3]] for o in out]}).astype({"query_id": "int64", "score": "float64", "vec_id": "int64"})
+
+    found = index.mapInPandas(run, f"query_id long, score double, vec_id long, v {kind}")
+    place = F.row_number().over(Window.partitionBy("query_id", F.size("v")).orderBy("score", "vec_id"))
+    return found.withColumn("place", place).where(F.col("place") <= k).select("query_id", "v").collect()  # k * SAMPLE rows a dimension
+
+
+def enough_probes(index: DataFrame, queries: DataFrame, sizes: dict[int, int], k: int, tables: int, least: int) -> dict[int, int]:
+    """For each dimension the probes with which the sample's true neighbours share a bucket by RECALL.
+
+    Doubled from ``least`` until they do; where all buckets are probed, all neighbours are found.
+    """
+    hashers = {dim: CrossPolytope(dim, n) for dim, n in sizes.items()}
+    out = {dim: min(least, cp.n_buckets) for dim, cp in hashers.items()}
+    short = [dim for dim, cp in hashers.items() if cp.n_buckets > least]
+    if not short:
+        return out
+    # rows of equal id may hold different vectors: one of them is asked
+    one = queries.where(F.col("dim").isin(short)).groupBy("dim", "id").agg(F.min("v").alias("v"))
+    place = F.row_number().over(Window.partitionBy("dim").orderBy(F.xxhash64("id"), "id"))
+    asked = one.withColumn("place", place).where(F.col("place") <= SAMPLE).select("id", "v", "dim").collect()
+    at = {(r.dim, r.id): r for r in asked}
+    truth = true_neighbours(index, asked, k) if asked else []
+    for dim in short:
+        pairs = [(at[dim, r.query_id].v, r.v) for r in truth if len(r.v) == dim]
+        if not pairs:
+            continue
+        q, x = (np.array([p[j] for p in pairs], np.float64) for j in (0, 1))
+        cp = hashers[dim]
+        homes = [cp.buckets(x, t)[:, None] for t in range(tables)]
+        while out[dim] < cp.n_buckets:
+            met = np.zeros(len(pairs), bool)
+            for t in range(tables):
+                left = np.flatnonzero(~met)
+                if len(left):
+                    met[left] = (cp.probes(q[left], t, out[dim]) == homes[t][left]).any(axis=1)
+            if met.mean() >= RECALL:
+                break
+            out[dim] = min(2 * out[dim], cp.n_buckets)
+    return out
+
+
 def nearest(vectors: DataFrame, k: int, query_every: int, tables: int = TABLES, probes: int = PROBES) -> DataFrame:
     """query_id, rank, vec_id, score: for each id divisible by ``query_every`` the k nearest found.
 
     Nearness is Euclidean distance in double precision; ties go to the smaller id; a query never finds
     its own id. Vectors that are null, zero or hold null or non-finite components take no part, and
     only vectors of equal dimension meet. Rows of equal id and vector count once. Fewer than k
-    candidates give fewer rows.
+    candidates give fewer rows. ``probes`` is the least number; ``enough_probes`` raises it.
     """
     rows = usable(vectors).distinct()
     # a result shows at most k ids of equal vectors besides the query's own: the k + 1 least suffice
@@ -100,6 +168,8 @@ def nearest(vectors: DataFrame, k: int, query_every: int, tables: int = TABLES,
     sizes = {r.dim: r.n for r in index.groupBy("dim").agg(F.count("*").alias("n")).collect()}  # one row per dimension
     queries = rows.where(F.col("id") % query_every == 0).withColumn("dim", F.size("v"))
 
+    asks = enough_probes(index, queries, sizes, k, tables, probes)
+
     def hashed(probing: bool):
         def run(batches):
             for pdf in batches:
@@ -110,9 +180,13 @@ def nearest(vectors: DataFrame, k: int, query_every: int, tables: int = TABLES,
                         if not probing:
                             yield pd.DataFrame({"dim": part["dim"], "t": t, "bucket": cp.buckets(x, t), "class": part["class"], "ids": part["ids"], "v": part["v"]})
                             continue
-                        keys = cp.probes(x, t, probes)
-                        one = pd.DataFrame({"dim": np.repeat(part["dim"].to_numpy(), probes), "t": t, "bucket": keys.ravel(), "id": np.repeat(part["id"].to_numpy(), probes), "v": np.repeat(part["v"].to_numpy(), probes)})
-                        yield one[one["bucket"] >= 0]
+                        n = asks[int(dim)]
+                        step = max(1, 100_000 // n)
+                        for i in range(0, len(part), step):
+                            some = part.iloc[i : i + step]
+                            keys = cp.probes(x[i : i + step], t, n)
+                            one = pd.DataFrame({"dim": np.repeat(some["dim"].to_numpy(), n), "t": t, "bucket": keys.ravel(), "id": np.repeat(some["id"].to_numpy(), n), "v": np.repeat(some["v"].to_numpy(), n)})
+                            yield one[one["bucket"] >= 0]
 
         return run
 
@@ -142,7 +216,7 @@ def nearest(vectors: DataFrame, k: int, query_every: int, tables: int = TABLES,
         return pd.DataFrame(out).astype({"query_id": "int64", "vec_id": "int64", "score": "float64"})
 
     found = left.groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInPandas(rerank, "query_id long, vec_id long, score double").distinct()
-    best = F.slice(F.sort_array(F.collect_list(F.struct("score", "vec_id"))), 1, k)  # of at most k * tables * probes each
+    best = F.slice(F.sort_array(F.collect_list(F.struct("score", "vec_id"))), 1, k)  # of at most k * tables * (probes that were enough) each
     ranked = found.groupBy("query_id").agg(best.alias("best")).select("query_id", F.posexplode("best").alias("rank", "hit"))
     return ranked.select("query_id", (F.col("rank") + 1).alias("rank"), "hit.vec_id", "hit.score")
 

@@ -340,6 +340,26 @@ def test_nearest(spark):
     assert ann.nearest(df.limit(0), 10, 100).count() == 0
 
 
+@pytest.mark.parametrize("scaled", [False, True])
+def test_nearest_probes_follow_recall(spark, monkeypatch, scaled):
+    """Many small buckets stand for a large table: the least number of probes finds too little there."""
+    monkeypatch.setattr(ann, "BUCKET", 4)
+    g = np.random.default_rng(8)
+    x = g.normal(size=(6000, 24)).astype(np.float32)
+    if scaled:
+        x *= g.lognormal(sigma=1.0, size=(6000, 1)).astype(np.float32)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    got = defaultdict(set)
+    for r in ann.nearest(df, 10, 60, tables=2, probes=4).collect():
+        got[r.query_id].add(r.vec_id)
+    hits = 0
+    for q in range(0, 6000, 60):
+        d = ((x.astype(float) - x[q].astype(float)) ** 2).sum(axis=1)
+        d[q] = np.inf
+        hits += len(got[q] & set(np.argsort(d)[:10].tolist()))
+    assert hits >= 0.9 * 1000
+
+
 def test_pipeline(spark, tmp_path, docs, labels):
     docs.select("doc_id", "text", "lang", "source", "n_chars").write.parquet(f"{tmp_path}/documents.parquet")
     labels.write.parquet(f"{tmp_path}/labels.parquet")
