@@ -40,9 +40,9 @@ def occurrences(docs: DataFrame) -> DataFrame:
 
 
 def shingle_set(line: str) -> Column:
-    """Distinct hashes of a line's shingles, in order."""
+    """Distinct hashes of a line's shingles."""
     found = F.transform(F.regexp_extract_all(line, F.lit(_SHINGLES), 1), lambda x: F.xxhash64(x))
-    return F.array_sort(F.array_distinct(F.when(F.length(line) < 8, F.array(F.xxhash64(line))).otherwise(found)))
+    return F.array_distinct(F.when(F.length(line) < 8, F.array(F.xxhash64(line))).otherwise(found))
 
 
 def band_keys(hashes: str, marked: str) -> Column:
@@ -132,8 +132,9 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     for 64-bit hash collisions.
     """
     found = occurrences(docs).groupBy("id").agg(F.min(F.struct("doc_id", "pos")).alias("at"), F.count("*").alias("n"), F.first("line").alias("line"))
-    hashed = found.select("id", "at", "n", shingle_set("line").alias("hashes"))
-    marked = hashed.withColumn("marked", F.array_sort(F.concat("hashes", F.array(*[F.lit(a).cast("long") for a in ANCHORS]))))
+    # sort_array, as array_sort calls an interpreted comparison
+    hashed = found.select("id", "at", "n", F.sort_array(shingle_set("line")).alias("hashes"))
+    marked = hashed.withColumn("marked", F.sort_array(F.concat("hashes", F.array(*[F.lit(a).cast("long") for a in ANCHORS]))))
     lines = written(marked.select("id", "at", "n", band_keys("hashes", "marked").alias("bands")), "lines")
     components = written(line_components(docs, lines), "components")
     firsts = lines.select("id", "at").join(components, "id").groupBy("component").agg(F.min("at").alias("keep"))
