@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import contextvars
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -16,7 +18,7 @@ from pyspark.sql import functions as F
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 
 _local_dir: str | None = None
-_written: list[str] = []
+_recording: contextvars.ContextVar[list[DataFrame] | None] = contextvars.ContextVar("recording", default=None)
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -41,17 +43,29 @@ def written(df: DataFrame, name: str) -> DataFrame:
     A lost executor costs a reread, never a recomputation of what led here.
     """
     path = fresh_path(df.sparkSession, name)
-    _written.append(path)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def drop_written(spark: SparkSession) -> None:
-    """Deletes the tables written so far. For callers that have stored all results that rest on them."""
-    jvm = spark._jvm
-    while _written:
-        path = jvm.org.apache.hadoop.fs.Path(_written.pop())
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._written_to = path
+    if (tables := _recording.get()) is not None:
+        tables.append(out)
+    return out
+
+
+@contextlib.contextmanager
+def recorded() -> Iterator[list[DataFrame]]:
+    """Gathers the tables written inside, for a caller who releases them once its result is stored."""
+    mark = _recording.set(tables := [])
+    try:
+        yield tables
+    finally:
+        _recording.reset(mark)
+
+
+def release(*tables: DataFrame) -> None:
+    """Deletes tables that ``written`` returned, once all that rests on them is stored."""
+    for df in tables:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._written_to)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

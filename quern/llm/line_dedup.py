@@ -1,69 +1,89 @@
 """Fuzzy line deduplication in DataFrame operations only.
 
 A line's set holds the shingles of eight characters at each of its characters; a shorter line is one
-shingle. Equal lines meet by hash first; distinct lines get MinHash signatures over their shingles,
-three values to a band, ten bands. Lines that share a band
-share a bucket. Each bucket's least line is compared with the others, then hubs drawn anew where a
-bucket still holds several components (another one in each bucket), and at last all pairs that no component joins and no test
-has settled. Parity sketches put aside pairs far from the threshold; Jaccard on full sets decides; a distributed union-find makes components; of each, only
-the first occurrence of its lines stays.
+shingle. Equal lines meet first, by hash; each distinct line is signed once. Its shingles fall into
+PARTS by hash, and a band takes one MinHash from every part. Lines that share a band share a bucket.
+Each bucket's best met line is compared with the others, then hubs drawn anew where a bucket still
+holds several components (another one in each bucket), and at last all pairs that no component joins
+and no test has settled. Parity sketches put aside pairs far from the threshold; Jaccard on full sets
+decides; a distributed union-find makes components; of each, only the first occurrence of its lines stays.
+
+Shingles are rows (an explode, hashing and aggregation in generated code) wherever there is one line a
+row; they stay in the task that has the line, as the line's hash deals out both.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quern.llm.common import free_name, need, written
-from quern.llm.components import connected_components
+from quern.llm.common import free_name, need, release, written
+from quern.llm.components import connected_components, joined_components
 
 #: Two lines link if their sets' Jaccard similarity is at least this many hundredths.
 PERCENT = 80
+#: Characters of a shingle (UTF-16 units: one beyond the basic plane counts as two).
+SHINGLE = 8
 #: A pair at the threshold misses all ten bands of three with chance 0.0008, one at 0.9 with 0.000002.
-BANDS, ROWS = 10, 3
-#: Places on the ring of 64-bit hashes, evenly apart.
-ANCHORS = [-(1 << 63) + (2 * k + 1) * ((1 << 63) // (BANDS * ROWS)) for k in range(BANDS * ROWS)]
-#: Rounds in which hubs are drawn anew before what is left is compared pair by pair.
-HUB_ROUNDS = 3
-#: Up to this many candidate lines travel by broadcast (8 bytes each); more, by a shuffle join.
-BROADCAST_IDS = 250_000
+BANDS, PARTS = 10, 3
+#: Rounds in which hubs are drawn anew, in buckets of more than SMALL lines, before what is left is compared pair by pair.
+HUB_ROUNDS, SMALL = 3, 16
+#: Up to this many ids or documents travel by broadcast; more, by a shuffle join.
+BROADCAST_ROWS = 500_000
 
-_BLANK = r" \t\x0B\f\r"
-_SHINGLES = r"(?s)(?=(.{8}))"
+_BLANKS = " \t\x0b\f\r"
+
+
+def _filled(line: Column) -> Column:
+    return F.ltrim(line, F.lit(_BLANKS)) != ""
 
 
 def occurrences(docs: DataFrame) -> DataFrame:
     """id (the line's hash), doc_id, pos, line of every line that isn't blank, of rows with an id."""
     rows = need(docs, "doc_id", "text").where("doc_id is not null")
     lines = rows.select("doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-    return lines.where(F.col("line").rlike(f"[^{_BLANK}]")).select(F.xxhash64("line").alias("id"), "doc_id", "pos", "line")
+    return lines.where(_filled(F.col("line"))).select(F.xxhash64("line").alias("id"), "doc_id", "pos", "line")
+
+
+def _starts(units: Column) -> Column:
+    return F.sequence(F.lit(0), F.greatest(F.length(units) / 2 - SHINGLE, F.lit(0)).cast("int"))
+
+
+def _shingle(units: Column, start: Column) -> Column:
+    return F.xxhash64(F.substring(units, start * 2 + 1, F.lit(2 * SHINGLE)))
+
+
+def shingle_rows(lines: DataFrame) -> DataFrame:
+    """id, h: the hash of each shingle of each line (id, line), repeated ones included."""
+    units = lines.select("id", F.encode("line", "UTF-16BE").alias("units"))
+    return units.select("id", "units", F.explode(_starts(F.col("units"))).alias("start")).select("id", _shingle(F.col("units"), F.col("start")).alias("h"))
 
 
 def shingle_set(line: str) -> Column:
     """Distinct hashes of a line's shingles."""
-    found = F.transform(F.regexp_extract_all(line, F.lit(_SHINGLES), 1), lambda x: F.xxhash64(x))
-    return F.array_distinct(F.when(F.length(line) < 8, F.array(F.xxhash64(line))).otherwise(found))
+    # the outer transform binds the encoded line, which each shingle would else encode again
+    found = F.transform(F.array(F.encode(line, "UTF-16BE")), lambda u: F.transform(_starts(u), lambda i: _shingle(u, i)))
+    return F.array_distinct(found[0])
 
 
-def band_keys(hashes: str, marked: str) -> Column:
-    """One key per band of the ordered ``hashes``; ``marked`` is these and ANCHORS, in order.
+def band_keys(shingles: DataFrame) -> DataFrame:
+    """id, bands: the keys of the BANDS bands, of rows (id, h) that are dealt out by id.
 
-    The hashes form a ring. From an anchor on, the first is a MinHash: turning the ring orders random
-    hashes anew. An anchor's place in ``marked``, less the anchors before it, is its place in the ring.
+    A band's key joins the MinHash of every part in an order of its own. Turning a hash by some bits gives
+    another order: which is the least of a set rests on its first bits alone, so a few bits are turn enough.
     """
-    least = []
-    for k, anchor in enumerate(ANCHORS):
-        below = F.array_position(marked, F.lit(anchor).cast("long")) - 1 - k
-        least.append(F.element_at(hashes, (below % F.size(hashes) + 1).cast("int")))
-    # neighbouring anchors may meet the same hash in a small set: a band takes distant ones
-    return F.array(*[F.xxhash64(F.lit(b), *least[b::BANDS]) for b in range(BANDS)])
+    turns = [F.shiftleft("h", 6 * b).bitwiseOR(F.shiftrightunsigned("h", 64 - 6 * b)) if b else F.col("h") for b in range(BANDS)]
+    part = F.shiftrightunsigned(F.shiftrightunsigned("h", 32) * PARTS, 32)
+    parts = shingles.groupBy("id", part.alias("part")).agg(*[F.min(x).alias(f"b{b}") for b, x in enumerate(turns)])
+    keys = parts.groupBy("id").agg(*[F.bit_xor(F.xxhash64(F.lit(b), "part", f"b{b}")).alias(f"b{b}") for b in range(BANDS)])
+    return keys.select("id", F.array(*[f"b{b}" for b in range(BANDS)]).alias("bands"))
 
 
-def parities(hashes: str) -> Column:
-    """An odd sketch: 512 parities of a set, as eight longs."""
-    bit = lambda h: F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftright(h, 3).bitwiseAND(F.lit(63).cast("long")).cast("int"))
-    word = lambda w: F.aggregate(F.filter(hashes, lambda h: h.bitwiseAND(F.lit(7).cast("long")) == w), F.lit(0).cast("long"), lambda acc, h: acc.bitwiseXOR(bit(h)))
-    return F.transform(F.sequence(F.lit(0), F.lit(7)), word)
+def odd_sketches(sets: DataFrame) -> DataFrame:
+    """id, m (size of the set), odd (an odd sketch: 512 parities of the set, as eight longs), of distinct rows (id, h) dealt out by id."""
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftright("h", 3).bitwiseAND(F.lit(63).cast("long")).cast("int"))
+    words = sets.groupBy("id", F.col("h").bitwiseAND(F.lit(7).cast("long")).alias("word")).agg(F.bit_xor(bit).alias("bits"), F.count("*").alias("n"))
+    return words.groupBy("id").agg(F.sum("n").alias("m"), F.array(*[F.bit_xor(F.when(F.col("word") == w, F.col("bits")).otherwise(F.lit(0).cast("long"))) for w in range(8)]).alias("odd"))
 
 
 def _may_link(n_a: str, n_b: str, odd_a: str, odd_b: str) -> Column:
@@ -76,10 +96,15 @@ def _may_link(n_a: str, n_b: str, odd_a: str, odd_b: str) -> Column:
     flips = (F.col(n_a) + F.col(n_b)) * ((1 - t) / (1 + t))
     left = F.exp(flips * (-4 / 512))
     most = (1 - F.sqrt(left)) * 256 + F.sqrt(F.greatest(F.lit(0.0), (1 - left) * 128 - flips * left)) * 3.5 + 1
-    apart = F.aggregate(F.zip_with(odd_a, odd_b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+    apart = sum((F.bit_count(F.col(odd_a)[w].bitwiseXOR(F.col(odd_b)[w])) for w in range(8)), F.lit(0))
     return (100 * F.least(n_a, n_b) >= PERCENT * F.greatest(n_a, n_b)) & (apart <= most)
 
 
+def _light(df: DataFrame) -> DataFrame:
+    """Marked for broadcast if its rows are few; counted, not guessed."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
 def _tested(pairs: DataFrame, sketches: DataFrame, texts: DataFrame) -> DataFrame:
     """a, b, linked. Lines travel as texts, which are smaller than their sets, and only where sketches allow a link."""
     a, b = sketches.toDF("a", "m_a", "odd_a"), sketches.toDF("b", "m_b", "odd_b")
@@ -88,64 +113,87 @@ def _tested(pairs: DataFrame, sketches: DataFrame, texts: DataFrame) -> DataFram
     sets = both.select("a", "b", shingle_set("line_a").alias("set_a"), shingle_set("line_b").alias("set_b"))
     sized = sets.select("a", "b", F.size("set_a").alias("m_a"), F.size("set_b").alias("m_b"), F.size(F.array_intersect("set_a", "set_b")).alias("common"))
     linked = sized.select("a", "b", (100 * F.col("common") >= PERCENT * (F.col("m_a") + F.col("m_b") - F.col("common"))).alias("linked"))
-    return written(linked.unionByName(near.where("not near").select("a", "b", F.lit(False).alias("linked"))), "tested")
+    out = written(linked.unionByName(near.where("not near").select("a", "b", F.lit(False).alias("linked"))), "tested")
+    release(near)
+    return out
 
 
 def _pair(x: str, y: str) -> list[Column]:
     return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
 
-def line_components(docs: DataFrame, lines: DataFrame) -> DataFrame:
-    """id, component of the lines that any link reaches."""
-    buckets = lines.select(F.explode("bands").alias("key"), "id")
-    shared = written(buckets.withColumn("n", F.count("*").over(Window.partitionBy("key"))).where("n > 1"), "buckets")
+def shared_buckets(docs: DataFrame) -> DataFrame:
+    """key, id, n: the lines of every bucket that holds n > 1 of them."""
+    lines = occurrences(docs).groupBy("id").agg(F.first("line").alias("line"))
+    signed = written(band_keys(shingle_rows(lines)), "signed")
+    keys = signed.select(F.explode("bands").alias("key"), "id")
+    # counts before members: a hot bucket is summed in parts, and its members meet it in a join that splits
+    counts = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    shared = written(keys.join(counts.hint("shuffle_hash"), "key"), "buckets")
+    release(signed)
+    return shared
+
+
+def line_components(docs: DataFrame) -> DataFrame:
+    """node, component of the lines that any link reaches, by id."""
+    shared = shared_buckets(docs)
     # the line that meets most others is likeliest to be what the others derive from
     degree = shared.groupBy("id").agg(F.sum("n").alias("degree"))
     hubs = shared.join(degree, "id").groupBy("key").agg(F.max(F.struct("degree", "id"))["id"].alias("hub"))
-    wanted = shared.select("id").distinct()
-    wanted = F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted
-    texts = written(occurrences(docs).select("id", "line").join(wanted, "id", "left_semi").dropDuplicates(["id"]), "texts")
-    sketches = written(texts.select("id", shingle_set("line").alias("shingles")).select("id", F.size("shingles").alias("m"), parities("shingles").alias("odd")), "sketches")
-    tested = _tested(shared.join(hubs, "key").where("id != hub").select(*_pair("id", "hub")).distinct(), sketches, texts)
-    components = written(connected_components(tested.where("linked")), "components")
+    wanted = written(shared.select("id").distinct(), "wanted")
+    texts = written(occurrences(docs).select("id", "line").join(_light(wanted), "id", "left_semi").dropDuplicates(["id"]), "texts")
+    sketches = written(odd_sketches(texts.repartition("id").select("id", F.explode(shingle_set("line")).alias("h"))), "sketches")
+    tested = [_tested(shared.join(hubs, "key").where("id != hub").select(*_pair("id", "hub")).distinct(), sketches, texts)]
+    components = connected_components(tested[0].where("linked"))
     for k in range(HUB_ROUNDS + 1):
-        known = shared.where("n > 2").join(components.withColumnRenamed("node", "id"), "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
+        known = shared.where(F.col("n") > (SMALL if k < HUB_ROUNDS else 2)).join(components.withColumnRenamed("node", "id"), "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
         split = known.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.min(F.struct(F.xxhash64("id", "key", F.lit(k)).alias("h"), "id", "component")).alias("drawn")).where("lo != hi")
         if k < HUB_ROUNDS:
-            pairs = known.join(split, "key").where("component != drawn.component").select(*_pair("id", "drawn.id"))
+            pairs = known.join(split, "key").where("component != drawn.component").select(*_pair("id", "drawn.id")).distinct()
         else:
-            members = written(known.join(split.select("key"), "key").join(sketches, "id").select("key", "id", "component", "m", "odd"), "members")
-            x, y = members.toDF("key", "x", "cx", "mx", "ox"), members.toDF("key", "y", "cy", "my", "oy")
-            pairs = x.hint("merge").join(y, (x["key"] == y["key"]) & (F.col("cx") < F.col("cy")) & _may_link("mx", "my", "ox", "oy")).select(*_pair("x", "y"))
-        pairs = written(pairs.distinct().join(tested.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
+            members = known.join(split.select("key"), "key")
+            held = members.groupBy("id").agg(F.array_sort(F.collect_list("key")).alias("keys"))  # BANDS at most
+            members = written(members.join(held, "id").join(sketches, "id").select("key", "id", "component", "m", "odd", "keys"), "members")
+            x, y = members.toDF("key", "x", "cx", "mx", "ox", "kx"), members.toDF("key", "y", "cy", "my", "oy", "ky")
+            # a pair comes from the first bucket that holds both
+            first = F.array_min(F.array_intersect("kx", "ky")) == x["key"]
+            pairs = x.hint("merge").join(y, (x["key"] == y["key"]) & (F.col("cx") < F.col("cy")) & _may_link("mx", "my", "ox", "oy") & first).select(*_pair("x", "y"))
+        pairs = written(_untested(pairs, tested), "pairs")
         if not pairs.limit(1).count():
+            release(pairs)
             continue
-        tested = tested.unionByName(_tested(pairs, sketches, texts))
-        components = written(connected_components(tested.where("linked")), "components")
-    return components.withColumnRenamed("node", "id")
+        tested.append(_tested(pairs, sketches, texts))
+        components = joined_components(components, tested[-1].where("linked"))
+        release(pairs)
+    release(shared, wanted, texts, sketches, *tested)
+    return components
+
+
+def _untested(pairs: DataFrame, tested: list[DataFrame]) -> DataFrame:
+    for done in tested:
+        pairs = pairs.join(done.select("a", "b"), ["a", "b"], "left_anti")
+    return pairs
 
 
 def removed_lines(docs: DataFrame) -> DataFrame:
-    """doc_id, pos, id of the line occurrences that go: all but the first of each component of lines.
+    """doc_id, pos of the line occurrences that go: all but the first of each component of lines.
 
     First means of least document id, then of least place. Lines differ if any character does, but
     for 64-bit hash collisions.
     """
-    found = occurrences(docs).groupBy("id").agg(F.min(F.struct("doc_id", "pos")).alias("at"), F.count("*").alias("n"), F.first("line").alias("line"))
-    # sort_array, as array_sort calls an interpreted comparison
-    hashed = found.select("id", "at", "n", F.sort_array(shingle_set("line")).alias("hashes"))
-    marked = hashed.withColumn("marked", F.sort_array(F.concat("hashes", F.array(*[F.lit(a).cast("long") for a in ANCHORS]))))
-    lines = written(marked.select("id", "at", "n", band_keys("hashes", "marked").alias("bands")), "lines")
-    components = written(line_components(docs, lines), "components")
-    firsts = lines.select("id", "at").join(components, "id").groupBy("component").agg(F.min("at").alias("keep"))
-    several = lines.select("id", "at", "n").join(components.join(firsts, "component").select("id", "keep"), "id", "left").where("n > 1 or keep is not null")
-    keep = several.select("id", F.coalesce("keep", "at").alias("keep"))
-    return occurrences(docs).select("id", "doc_id", "pos").join(keep, "id").where("doc_id != keep.doc_id or pos != keep.pos").select("doc_id", "pos", "id").distinct()
+    components = line_components(docs)
+    found = written(occurrences(docs).select("id", "doc_id", "pos"), "occurrences")
+    tied = found.join(components.toDF("id", "component"), "id", "left").select(F.coalesce("component", "id").alias("component"), "doc_id", "pos")
+    firsts = tied.groupBy("component").agg(F.min(F.struct("doc_id", "pos")).alias("keep"), F.count("*").alias("n")).where("n > 1").select("component", "keep")
+    gone = tied.join(firsts, "component").where("doc_id != keep.doc_id or pos != keep.pos").select("doc_id", "pos").distinct()
+    out = written(gone, "removed")
+    release(found, components)
+    return out
 
 
 def _marked(docs: DataFrame, name: str) -> DataFrame:
-    gone = written(removed_lines(docs), "removed").groupBy("doc_id").agg(F.collect_set("pos").alias(name))  # a document's own lines
-    return docs.join(gone, "doc_id", "left")
+    gone = written(removed_lines(docs).groupBy("doc_id").agg(F.collect_set("pos").alias(name)), "gone")  # a document's own lines
+    return docs.join(_light(gone), "doc_id", "left")
 
 
 def _kept(text: str, gone: str) -> Column:
@@ -162,7 +210,7 @@ def line_digests(docs: DataFrame) -> DataFrame:
     """
     rows = _marked(need(docs, "doc_id", "text"), "gone")
     text = F.coalesce("text", F.lit(""))
-    n_lines = F.size(F.filter(F.split(text, "\n"), lambda x: x.rlike(f"[^{_BLANK}]")))
+    n_lines = F.size(F.filter(F.split(text, "\n"), _filled))
     return rows.select("doc_id", n_lines.cast("long").alias("n_lines"), F.when(F.col("gone").isNull(), 0).otherwise(F.size("gone")).cast("long").alias("n_removed"), F.sha2(F.coalesce(_kept("text", "gone"), F.lit("")), 256).alias("kept_sha256"))
 
 

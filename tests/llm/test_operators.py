@@ -235,15 +235,19 @@ def test_line_dedup_against_brute_force(spark):
     assert 0 < sum(x.n_removed for x in got) < len(lines) // 2
 
 
-def test_sketches_let_long_lines_through(spark):
+def test_sketches_let_long_lines_through(spark, tmp_path):
     g = np.random.default_rng(5)
     pairs = []
     for n in (100, 1000, 3000, 9000, 20000):
         for _ in range(8):
             x = g.integers(-(2**63), 2**63, n + n // 10).tolist()
             pairs.append((n, x[:n], x[n // 10 :]))  # Jaccard of 0.9 / 1.1, just above the threshold
-    df = spark.createDataFrame(pairs, "n long, x array<long>, y array<long>").select("n", F.size("x").alias("mx"), F.size("y").alias("my"), line_dedup.parities("x").alias("ox"), line_dedup.parities("y").alias("oy"))
-    assert df.where(~line_dedup._may_link("mx", "my", "ox", "oy")).count() == 0
+    df = spark.createDataFrame(pairs, "n long, x array<long>, y array<long>").withColumn("pair", F.monotonically_increasing_id())
+    df.write.parquet(path := f"{tmp_path}/pairs")
+    df = spark.read.parquet(path)
+    x, y = (line_dedup.odd_sketches(df.select(F.col("pair").alias("id"), F.explode(side).alias("h"))).toDF("pair", f"m{side}", f"o{side}") for side in "xy")
+    both = x.join(y, "pair")
+    assert both.count() == len(pairs) and both.where(~line_dedup._may_link("mx", "my", "ox", "oy")).count() == 0
 
 
 def test_packing(docs, empty):
