@@ -3,17 +3,20 @@
 A line's set holds the shingles of eight characters at each of its characters; a shorter line is one
 shingle. Equal lines meet first, by hash; each distinct line is signed once. Its shingles fall into
 PARTS by hash, and a band takes one MinHash from every part. Lines that share a band share a bucket.
-Each bucket's best met line is compared with the others, then hubs drawn anew where a bucket still
-holds several components (another one in each bucket), and at last all pairs that no component joins
-and no test has settled. Parity sketches put aside pairs far from the threshold; Jaccard on full sets
-decides; a distributed union-find makes components; of each, only the first occurrence of its lines stays.
-
-Shingles are rows (an explode, hashing and aggregation in generated code) wherever there is one line a
-row; they stay in the task that has the line, as the line's hash deals out both.
+Each bucket's best met line is compared with the others. Hubs are drawn anew in large buckets that hold
+several components (another one in each bucket) as long as that pays; at last come all pairs that no
+component joins and no test has settled. Fingerprints of two bits a MinHash, and parity sketches in the
+last round, put aside pairs far from the threshold; Jaccard on full sets decides; a distributed
+union-find makes components; of each, only the first occurrence of its lines stays.
+
+Shingles are rows (an explode, hashing and aggregation in generated code) where a line is signed; they
+stay in the task that has the line, as the line's hash deals out both.
 """
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,10 +27,12 @@ from quern.llm.components import connected_components, joined_components
 PERCENT = 80
 #: Characters of a shingle (UTF-16 units: one beyond the basic plane counts as two).
 SHINGLE = 8
-#: A pair at the threshold misses all ten bands of three with chance 0.0008, one at 0.9 with 0.000002.
-BANDS, PARTS = 10, 3
-#: Rounds in which hubs are drawn anew, in buckets of more than SMALL lines, before what is left is compared pair by pair.
-HUB_ROUNDS, SMALL = 3, 16
+#: A pair at the threshold misses all eight bands of three with chance 0.003, one at 0.9 with 0.00003.
+BANDS, PARTS = 8, 3
+#: Of the MinHashes' last two bits, a pair at the threshold has fewer in common with chance 0.0001.
+LEAST_COMMON = 13
+#: Hubs are drawn anew in buckets of more than SMALL lines while at least a PAYS-th of the tests finds a link.
+SMALL, PAYS = 16, 100
 #: Up to this many ids or documents travel by broadcast; more, by a shuffle join.
 BROADCAST_ROWS = 500_000
 
@@ -46,11 +51,11 @@ def occurrences(docs: DataFrame) -> DataFrame:
 
 
 def _starts(units: Column) -> Column:
-    return F.sequence(F.lit(0), F.greatest(F.length(units) / 2 - SHINGLE, F.lit(0)).cast("int"))
+    return F.sequence(F.lit(1), F.greatest(F.length(units) - (2 * SHINGLE - 1), F.lit(1)), F.lit(2))
 
 
 def _shingle(units: Column, start: Column) -> Column:
-    return F.xxhash64(F.substring(units, start * 2 + 1, F.lit(2 * SHINGLE)))
+    return F.xxhash64(F.substring(units, start, F.lit(2 * SHINGLE)))
 
 
 def shingle_rows(lines: DataFrame) -> DataFrame:
@@ -67,16 +72,26 @@ def shingle_set(line: str) -> Column:
 
 
 def band_keys(shingles: DataFrame) -> DataFrame:
-    """id, bands: the keys of the BANDS bands, of rows (id, h) that are dealt out by id.
+    """id, bands, print: the keys of the BANDS bands and a fingerprint, of rows (id, h) that are dealt out by id.
 
     A band's key joins the MinHash of every part in an order of its own. Turning a hash by some bits gives
     another order: which is the least of a set rests on its first bits alone, so a few bits are turn enough.
+    The fingerprint has the last two bits of every MinHash.
     """
     turns = [F.shiftleft("h", 6 * b).bitwiseOR(F.shiftrightunsigned("h", 64 - 6 * b)) if b else F.col("h") for b in range(BANDS)]
     part = F.shiftrightunsigned(F.shiftrightunsigned("h", 32) * PARTS, 32)
     parts = shingles.groupBy("id", part.alias("part")).agg(*[F.min(x).alias(f"b{b}") for b, x in enumerate(turns)])
-    keys = parts.groupBy("id").agg(*[F.bit_xor(F.xxhash64(F.lit(b), "part", f"b{b}")).alias(f"b{b}") for b in range(BANDS)])
-    return keys.select("id", F.array(*[f"b{b}" for b in range(BANDS)]).alias("bands"))
+    keys = [F.bit_xor(F.xxhash64(F.lit(b), "part", f"b{b}")).alias(f"b{b}") for b in range(BANDS)]
+    bits = functools.reduce(Column.bitwiseOR, [F.shiftleft(F.col(f"b{b}").bitwiseAND(F.lit(3).cast("long")), 2 * b) for b in range(BANDS)])
+    prints = F.bit_xor(F.call_function("shiftleft", bits, (F.col("part") * (2 * BANDS)).cast("int"))).alias("print")
+    return parts.groupBy("id").agg(*keys, prints).select("id", F.array(*[f"b{b}" for b in range(BANDS)]).alias("bands"), "print")
+
+
+def _alike(a: str, b: str) -> Column:
+    """The fingerprints have enough in common."""
+    apart = F.col(a).bitwiseXOR(F.col(b))
+    odd = F.lit(0x5555555555555555).cast("long")
+    return BANDS * PARTS - F.bit_count(apart.bitwiseOR(F.shiftrightunsigned(apart, 1)).bitwiseAND(odd)) >= LEAST_COMMON
 
 
 def odd_sketches(sets: DataFrame) -> DataFrame:
@@ -105,73 +120,87 @@ def _light(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
-def _tested(pairs: DataFrame, sketches: DataFrame, texts: DataFrame) -> DataFrame:
-    """a, b, linked. Lines travel as texts, which are smaller than their sets, and only where sketches allow a link."""
-    a, b = sketches.toDF("a", "m_a", "odd_a"), sketches.toDF("b", "m_b", "odd_b")
-    near = written(pairs.join(a, "a").join(b, "b").select("a", "b", _may_link("m_a", "m_b", "odd_a", "odd_b").alias("near")), "near")
-    both = near.where("near").join(texts.toDF("a", "line_a"), "a").join(texts.toDF("b", "line_b"), "b")
+def _linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs (a, b) at or over the threshold. Lines travel as texts, which are smaller than their sets."""
+    both = pairs.join(texts.toDF("a", "line_a"), "a").join(texts.toDF("b", "line_b"), "b")
     sets = both.select("a", "b", shingle_set("line_a").alias("set_a"), shingle_set("line_b").alias("set_b"))
     sized = sets.select("a", "b", F.size("set_a").alias("m_a"), F.size("set_b").alias("m_b"), F.size(F.array_intersect("set_a", "set_b")).alias("common"))
-    linked = sized.select("a", "b", (100 * F.col("common") >= PERCENT * (F.col("m_a") + F.col("m_b") - F.col("common"))).alias("linked"))
-    out = written(linked.unionByName(near.where("not near").select("a", "b", F.lit(False).alias("linked"))), "tested")
-    release(near)
-    return out
+    return written(sized.where(100 * F.col("common") >= PERCENT * (F.col("m_a") + F.col("m_b") - F.col("common"))).select("a", "b"), "linked")
 
 
 def _pair(x: str, y: str) -> list[Column]:
     return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
 
-def shared_buckets(docs: DataFrame) -> DataFrame:
-    """key, id, n: the lines of every bucket that holds n > 1 of them."""
+def shared_buckets(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """key, id, n: the lines of every bucket that holds n > 1 of them; and id, print of these lines."""
     lines = occurrences(docs).groupBy("id").agg(F.first("line").alias("line"))
     signed = written(band_keys(shingle_rows(lines)), "signed")
     keys = signed.select(F.explode("bands").alias("key"), "id")
     # counts before members: a hot bucket is summed in parts, and its members meet it in a join that splits
     counts = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     shared = written(keys.join(counts.hint("shuffle_hash"), "key"), "buckets")
-    release(signed)
-    return shared
+    ids = written(shared.select("id").distinct(), "ids")
+    prints = written(signed.select("id", "print").join(_light(ids), "id", "left_semi"), "prints")
+    release(signed, ids)
+    return shared, prints
 
 
 def line_components(docs: DataFrame) -> DataFrame:
     """node, component of the lines that any link reaches, by id."""
-    shared = shared_buckets(docs)
+    shared, prints = shared_buckets(docs)
+    texts = written(occurrences(docs).select("id", "line").join(_light(prints.select("id")), "id", "left_semi").dropDuplicates(["id"]), "texts")
+
+    def tested(pairs: DataFrame) -> DataFrame:
+        a, b = prints.toDF("a", "print_a"), prints.toDF("b", "print_b")
+        return _linked(pairs.join(a, "a").join(b, "b").where(_alike("print_a", "print_b")).select("a", "b"), texts)
+
     # the line that meets most others is likeliest to be what the others derive from
     degree = shared.groupBy("id").agg(F.sum("n").alias("degree"))
     hubs = shared.join(degree, "id").groupBy("key").agg(F.max(F.struct("degree", "id"))["id"].alias("hub"))
-    wanted = written(shared.select("id").distinct(), "wanted")
-    texts = written(occurrences(docs).select("id", "line").join(_light(wanted), "id", "left_semi").dropDuplicates(["id"]), "texts")
-    sketches = written(odd_sketches(texts.repartition("id").select("id", F.explode(shingle_set("line")).alias("h"))), "sketches")
-    tested = [_tested(shared.join(hubs, "key").where("id != hub").select(*_pair("id", "hub")).distinct(), sketches, texts)]
-    components = connected_components(tested[0].where("linked"))
-    for k in range(HUB_ROUNDS + 1):
-        known = shared.where(F.col("n") > (SMALL if k < HUB_ROUNDS else 2)).join(components.withColumnRenamed("node", "id"), "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
-        split = known.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.min(F.struct(F.xxhash64("id", "key", F.lit(k)).alias("h"), "id", "component")).alias("drawn")).where("lo != hi")
-        if k < HUB_ROUNDS:
-            pairs = known.join(split, "key").where("component != drawn.component").select(*_pair("id", "drawn.id")).distinct()
-        else:
-            members = known.join(split.select("key"), "key")
-            held = members.groupBy("id").agg(F.array_sort(F.collect_list("key")).alias("keys"))  # BANDS at most
-            members = written(members.join(held, "id").join(sketches, "id").select("key", "id", "component", "m", "odd", "keys"), "members")
-            x, y = members.toDF("key", "x", "cx", "mx", "ox", "kx"), members.toDF("key", "y", "cy", "my", "oy", "ky")
-            # a pair comes from the first bucket that holds both
-            first = F.array_min(F.array_intersect("kx", "ky")) == x["key"]
-            pairs = x.hint("merge").join(y, (x["key"] == y["key"]) & (F.col("cx") < F.col("cy")) & _may_link("mx", "my", "ox", "oy") & first).select(*_pair("x", "y"))
-        pairs = written(_untested(pairs, tested), "pairs")
-        if not pairs.limit(1).count():
-            release(pairs)
-            continue
-        tested.append(_tested(pairs, sketches, texts))
-        components = joined_components(components, tested[-1].where("linked"))
-        release(pairs)
-    release(shared, wanted, texts, sketches, *tested)
+    pairs = written(shared.join(hubs, "key").where("id != hub").select(*_pair("id", "hub")).distinct(), "pairs")
+    settled, links = [pairs], tested(pairs)
+    components = connected_components(links)
+    release(links)
+    wide, rounds = True, 0
+    while wide:
+        known, split = _split_buckets(shared.where(F.col("n") > SMALL), components, rounds)
+        drawn = known.join(split, "key").where("component != drawn.component").select(*_pair("id", "drawn.id")).distinct()
+        pairs = written(_untested(drawn, settled), "pairs")
+        links = tested(pairs)
+        components, wide, rounds = joined_components(components, links), links.count() * PAYS > pairs.count(), rounds + 1
+        settled.append(pairs)
+        release(links)
+    pairs = written(_untested(_pairs_left(shared, components, texts), settled), "pairs")
+    links = _linked(pairs, texts)
+    components = joined_components(components, links)
+    release(shared, prints, texts, links, pairs, *settled)
     return components
 
 
-def _untested(pairs: DataFrame, tested: list[DataFrame]) -> DataFrame:
-    for done in tested:
-        pairs = pairs.join(done.select("a", "b"), ["a", "b"], "left_anti")
+def _split_buckets(shared: DataFrame, components: DataFrame, rounds: int) -> tuple[DataFrame, DataFrame]:
+    """key, id, component of the buckets' lines; and for each bucket of several components the key and a line drawn from it."""
+    known = shared.join(components.toDF("id", "component"), "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
+    drawn = F.min(F.struct(F.xxhash64("id", "key", F.lit(rounds)).alias("h"), "id", "component")).alias("drawn")
+    return known, known.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), drawn).where("lo != hi")
+
+
+def _pairs_left(shared: DataFrame, components: DataFrame, texts: DataFrame) -> DataFrame:
+    """a, b: all pairs of one bucket and different components that their sketches let through."""
+    known, split = _split_buckets(shared.where("n > 2"), components, 0)  # the two of a bucket have met
+    members = known.join(split.select("key"), "key")
+    held = written(members.groupBy("id").agg(F.array_sort(F.collect_list("key")).alias("keys")), "held")  # BANDS at most
+    lines = texts.join(_light(held.select("id")), "id", "left_semi").repartition("id")
+    sketches = odd_sketches(lines.select("id", F.explode(shingle_set("line")).alias("h")))
+    members = written(members.join(held, "id").join(sketches, "id").select("key", "id", "component", "m", "odd", "keys"), "members")
+    x, y = members.toDF("key", "x", "cx", "mx", "ox", "kx"), members.toDF("key", "y", "cy", "my", "oy", "ky")
+    first = F.array_min(F.array_intersect("kx", "ky")) == x["key"]  # a pair comes from the first bucket that holds both
+    return x.hint("merge").join(y, (x["key"] == y["key"]) & (F.col("cx") < F.col("cy")) & _may_link("mx", "my", "ox", "oy") & first).select(*_pair("x", "y"))
+
+
+def _untested(pairs: DataFrame, settled: list[DataFrame]) -> DataFrame:
+    for done in settled:
+        pairs = pairs.join(done, ["a", "b"], "left_anti")
     return pairs
 
 
