@@ -32,7 +32,9 @@ BANDS, PARTS = 8, 3
 #: Of the MinHashes' last two bits, a pair at the threshold has fewer in common with chance 0.0001.
 LEAST_COMMON = 13
 #: Hubs are drawn anew in buckets of more than SMALL lines while at least a PAYS-th of the tests finds a link.
-SMALL, PAYS = 16, 100
+SMALL, PAYS = 16, 20
+#: Longs of a parity sketch.
+WORDS = 16
 #: Up to this many ids or documents travel by broadcast; more, by a shuffle join.
 BROADCAST_ROWS = 500_000
 
@@ -95,23 +97,23 @@ def _alike(a: str, b: str) -> Column:
 
 
 def odd_sketches(sets: DataFrame) -> DataFrame:
-    """id, m (size of the set), odd (an odd sketch: 512 parities of the set, as eight longs), of distinct rows (id, h) dealt out by id."""
-    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftright("h", 3).bitwiseAND(F.lit(63).cast("long")).cast("int"))
-    words = sets.groupBy("id", F.col("h").bitwiseAND(F.lit(7).cast("long")).alias("word")).agg(F.bit_xor(bit).alias("bits"), F.count("*").alias("n"))
-    return words.groupBy("id").agg(F.sum("n").alias("m"), F.array(*[F.bit_xor(F.when(F.col("word") == w, F.col("bits")).otherwise(F.lit(0).cast("long"))) for w in range(8)]).alias("odd"))
+    """id, m (size of the set), odd (an odd sketch: parities of the set, as WORDS longs), of distinct rows (id, h) dealt out by id."""
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftright("h", 4).bitwiseAND(F.lit(63).cast("long")).cast("int"))
+    words = sets.groupBy("id", F.col("h").bitwiseAND(F.lit(WORDS - 1).cast("long")).alias("word")).agg(F.bit_xor(bit).alias("bits"), F.count("*").alias("n"))
+    return words.groupBy("id").agg(F.sum("n").alias("m"), F.array(*[F.bit_xor(F.when(F.col("word") == w, F.col("bits")).otherwise(F.lit(0).cast("long"))) for w in range(WORDS)]).alias("odd"))
 
 
 def _may_link(n_a: str, n_b: str, odd_a: str, odd_b: str) -> Column:
     """The sketches differ by no more than those of sets at the threshold do, and 3.5 deviations.
 
     Mean and deviation are those of the count of odd parities: sketches of very long lines, which
-    saturate at a mean of 256, never rule a pair out.
+    saturate at half their bits, never rule a pair out.
     """
-    t = PERCENT / 100
+    t, bits = PERCENT / 100, 64 * WORDS
     flips = (F.col(n_a) + F.col(n_b)) * ((1 - t) / (1 + t))
-    left = F.exp(flips * (-4 / 512))
-    most = (1 - F.sqrt(left)) * 256 + F.sqrt(F.greatest(F.lit(0.0), (1 - left) * 128 - flips * left)) * 3.5 + 1
-    apart = sum((F.bit_count(F.col(odd_a)[w].bitwiseXOR(F.col(odd_b)[w])) for w in range(8)), F.lit(0))
+    left = F.exp(flips * (-4 / bits))
+    most = (1 - F.sqrt(left)) * (bits / 2) + F.sqrt(F.greatest(F.lit(0.0), (1 - left) * (bits / 4) - flips * left)) * 3.5 + 1
+    apart = sum((F.bit_count(F.get(odd_a, F.lit(w)).bitwiseXOR(F.get(odd_b, F.lit(w)))) for w in range(WORDS)), F.lit(0))
     return (100 * F.least(n_a, n_b) >= PERCENT * F.greatest(n_a, n_b)) & (apart <= most)
 
 
@@ -204,8 +206,8 @@ def _untested(pairs: DataFrame, settled: list[DataFrame]) -> DataFrame:
     return pairs
 
 
-def removed_lines(docs: DataFrame) -> DataFrame:
-    """doc_id, pos of the line occurrences that go: all but the first of each component of lines.
+def removed_lines(docs: DataFrame, name: str) -> DataFrame:
+    """doc_id and, under ``name``, the places of its lines that go: all but the first of each component of lines.
 
     First means of least document id, then of least place. Lines differ if any character does, but
     for 64-bit hash collisions.
@@ -214,15 +216,14 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     found = written(occurrences(docs).select("id", "doc_id", "pos"), "occurrences")
     tied = found.join(components.toDF("id", "component"), "id", "left").select(F.coalesce("component", "id").alias("component"), "doc_id", "pos")
     firsts = tied.groupBy("component").agg(F.min(F.struct("doc_id", "pos")).alias("keep"), F.count("*").alias("n")).where("n > 1").select("component", "keep")
-    gone = tied.join(firsts, "component").where("doc_id != keep.doc_id or pos != keep.pos").select("doc_id", "pos").distinct()
-    out = written(gone, "removed")
+    gone = tied.join(firsts, "component").where("doc_id != keep.doc_id or pos != keep.pos")
+    out = written(gone.groupBy("doc_id").agg(F.collect_set("pos").alias(name)), "gone")  # a document's own lines
     release(found, components)
     return out
 
 
 def _marked(docs: DataFrame, name: str) -> DataFrame:
-    gone = written(removed_lines(docs).groupBy("doc_id").agg(F.collect_set("pos").alias(name)), "gone")  # a document's own lines
-    return docs.join(_light(gone), "doc_id", "left")
+    return docs.join(_light(removed_lines(docs, name)), "doc_id", "left")
 
 
 def _kept(text: str, gone: str) -> Column:
