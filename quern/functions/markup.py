@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
 import html
+import itertools
 import json
 import re
 from html.parser import HTMLParser
@@ -18,6 +20,9 @@ ROOTS = ("article", "main", "body")
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 
 
+_BLANKS, _LINE_ENDS = re.compile(r"[^\S\n]+"), re.compile(r" ?\n[ \n]*")
+
+
 class _Texts(HTMLParser):
     """Text nodes with the elements they stand in."""
 
@@ -49,8 +54,9 @@ def visible_text(source: str) -> str:
     p.feed(source)
     p.close()
     root = next(((tag, 1) for tag in ROOTS if p.count[tag]), None)
-    lines = [re.sub(r"\s+", " ", line).strip() for text, inside in p.found if root is None or root in inside for line in text.split("\n")]
-    return "\n".join(x for x in lines if x)
+    text = "\n".join(t for t, inside in p.found if root is None or root in inside)
+    # blanks within a line become one, then blanks around line ends and empty lines go
+    return _LINE_ENDS.sub("\n", _BLANKS.sub(" ", text)).strip(" \n")
 
 
 @F.pandas_udf(T.StringType())
@@ -99,21 +105,25 @@ class _Scripts(HTMLParser):
             self.texts[-1] += data
 
 
+def _parsed(script: str):
+    with contextlib.suppress(ValueError):
+        return json.loads(script)
+
+
+def _opened(node) -> list:
+    match node:
+        case {"@graph": [*members]}:
+            return members
+    return [node]
+
+
 def linked_nodes(source: str) -> list[str]:
     """JSON objects of all linked-data scripts: lists and graphs opened up, broken scripts passed over."""
     p = _Scripts()
     p.feed(source)
     p.close()
-    out = []
-    for text in p.texts:
-        try:
-            found = json.loads(text)
-        except ValueError:
-            continue
-        for node in found if isinstance(found, list) else [found]:
-            graph = node.get("@graph") if isinstance(node, dict) else None
-            out += [json.dumps(x) for x in (graph if isinstance(graph, list) else [node]) if isinstance(x, dict)]
-    return out
+    roots = itertools.chain.from_iterable(x if isinstance(x, list) else [x] for x in map(_parsed, p.texts))
+    return [json.dumps(x) for x in itertools.chain.from_iterable(map(_opened, roots)) if isinstance(x, dict)]
 
 
 @F.pandas_udf(T.ArrayType(T.StringType()))

@@ -16,15 +16,15 @@ _BRANCHES = {
         "productName": "CASE WHEN p_partkey % 29 = 0 THEN p_brand ELSE p_name END", "startupName": "p_brand", "rawStartupName": "p_brand",
         "pricingModel": "CASE p_partkey % 7 WHEN 0 THEN 'FREE' WHEN 1 THEN 'PAID' WHEN 2 THEN 'BARTER' END", "description": "p_type"}),
     "RESEARCH_PAPER": ("documents", "doc_id", {
-        "title": "substr(coalesce(text, ''), 1, 40)", "authors": "source", "paper_url": "'https://example.org/p/' || doc_id", "published_date": "'2024-01-01'",
+        "title": "split_part(coalesce(text, ''), chr(10), 1)", "authors": "source", "paper_url": "'https://example.org/p/' || doc_id", "published_date": "'2024-01-01'",
         "github_url": "CASE WHEN doc_id % 3 <> 0 THEN 'https://github.com/o' || (doc_id % 50) || '/r' || doc_id END", "github_stars": "CAST(n_chars AS VARCHAR)",
         "github_stars_source": "CASE WHEN doc_id % 5 = 0 THEN 'cache' ELSE 'github_graphql' END",
-        "github_stars_collected_at": "CASE WHEN doc_id % 7 = 0 THEN 'unknown' WHEN doc_id % 11 = 0 THEN '2024-01-01 00:00:00' ELSE '2024-01-30 06:00:00' END", "abstract": "lang"}),
+        "github_stars_collected_at": "CASE WHEN doc_id % 7 = 0 THEN 'unknown' WHEN doc_id % 11 = 0 THEN '2024-01-01 00:00:00' ELSE '2024-01-30 06:00:00' END", "abstract": "text"}),
     "JOB": ("orders", "o_orderkey", {
         "company": "'c' || (o_custkey % 100)", "rawCompany": "'C' || (o_custkey % 100)", "title": "o_orderpriority",
         "date": f"CASE WHEN o_orderkey % 19 = 0 THEN NULL WHEN o_orderkey % 2 = 0 THEN '2024-01-30 02:00:00' ELSE {_stamp('o_orderdate')} END",
         "is_remote": "CASE WHEN o_orderkey % 2 = 0 THEN 'true' ELSE 'false' END", "role_family": "'Other'", "full_text": "o_orderstatus"}),
-    "NEWS": ("pages JOIN events ON page_id = event_id", "page_id", {"title": "'story ' || event_type", "publisher": "'example'", "published_at": _stamp("ts"), "full_text": "substr(html, 1, 20)"}),
+    "NEWS": ("pages JOIN events ON page_id = event_id", "page_id", {"title": "'story ' || event_type", "publisher": "'example'", "published_at": _stamp("ts"), "full_text": "html"}),
 }
 
 

@@ -70,14 +70,14 @@ def per_source_topn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return per_source_top(events, "event_type", 5, 100, "event_id").orderBy("event_type", "event_id").limit(100).select("event_type", "event_id")
 
 
-def _feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One feed per host digit: RSS for even ones, Atom for odd ones."""
-    rows = table(spark, sf_dir, "pages").join(table(spark, sf_dir, "events"), F.col("page_id") == F.col("event_id")).withColumn("src", F.col("page_id") % 6)
+def _feeds(spark: SparkSession, sf_dir: str, all_atom: bool = False) -> DataFrame:
+    """Feeds of up to 100 items per host digit: RSS for even ones, Atom for odd ones or for all."""
+    rows = table(spark, sf_dir, "pages").join(table(spark, sf_dir, "events"), F.col("page_id") == F.col("event_id")).withColumn("src", F.col("page_id") % 6).withColumn("is_rss", F.lit(not all_atom) & (F.col("src") % 2 == 0))
     path, at = F.concat(F.lit("/n/"), F.col("page_id").cast("string")), F.date_trunc("second", F.col("ts").cast("timestamp"))
     rss = F.concat(F.lit("<item><title> story  "), "event_type", F.lit("</title><link>"), path, F.lit("</link><pubDate>"), F.date_format(at, "dd MMM yyyy HH:mm:ss '+0000'"), F.lit("</pubDate></item>"))
     atom = F.concat(F.lit('<entry><id>http://arxiv.example/abs/'), F.col("page_id").cast("string"), F.lit("v2</id><title> story  "), F.col("event_type"), F.lit('</title><link rel="alternate" href="'), path, F.lit('"/><summary>a  b</summary><published>'), F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss'Z'"), F.lit("</published><author><name>A</name></author><author><name>B</name></author></entry>"))
-    listed = rows.groupBy("src").agg(F.array_join(F.sort_array(F.collect_list(F.when(F.col("src") % 2 == 0, rss).otherwise(atom))), "").alias("x"))
-    body = F.when(F.col("src") % 2 == 0, F.concat(F.lit('<rss version="2.0"><channel>'), "x", F.lit("</channel></rss>"))).otherwise(F.concat(F.lit("<feed>"), "x", F.lit("</feed>")))
+    listed = rows.groupBy("src", "is_rss", F.floor(F.col("page_id") / 600).alias("issue")).agg(F.array_join(F.sort_array(F.collect_list(F.when(F.col("is_rss"), rss).otherwise(atom))), "").alias("x"))
+    body = F.when(F.col("is_rss"), F.concat(F.lit('<rss version="2.0"><channel>'), "x", F.lit("</channel></rss>"))).otherwise(F.concat(F.lit("<feed>"), "x", F.lit("</feed>")))
     return listed.select(F.col("src").cast("string").alias("source"), F.lit("https://news.example/feed").alias("base"), body.alias("body"))
 
 
@@ -86,7 +86,7 @@ def feed_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def parse_atom(spark: SparkSession, sf_dir: str) -> DataFrame:
-    papers = feeds.atom_papers(_feeds(spark, sf_dir).where("source % 2 = 1"))
+    papers = feeds.atom_papers(_feeds(spark, sf_dir, all_atom=True))
     return papers.select(F.col("paper_id").cast("bigint").alias("id"), "title", "abstract", F.array_join("authors", ",").alias("authors"))
 
 
@@ -106,7 +106,9 @@ def news_join_article(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def extract_embedded_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     company = F.struct(F.concat(F.lit("s"), (F.col("s_suppkey") % 1000).cast("string")).alias("slug"), F.col("s_name").alias("name"), F.lit(" ").alias("long_description"), F.lit("one & only").alias("one_liner"), F.lit("w24").alias("batch_name"), F.concat(F.lit("about "), F.col("s_nationkey").cast("string")).alias("team_size"), F.array(F.lit("ai"), F.lit("")).alias("tags"))
-    bodies = table(spark, sf_dir, "supplier").groupBy(F.col("s_nationkey").alias("page")).agg(F.sort_array(F.collect_list(company)).alias("companies"))
+    # pages of bounded size, in order of nation and then of supplier
+    page = F.col("s_nationkey") * 1_000_000 + F.floor(F.col("s_suppkey") / 2500)
+    bodies = table(spark, sf_dir, "supplier").groupBy(page.alias("page")).agg(F.sort_array(F.collect_list(company)).alias("companies"))
     data = F.to_json(F.struct(F.struct("companies").alias("props")))
     escaped = F.replace(F.replace(data, F.lit("&"), F.lit("&amp;")), F.lit('"'), F.lit("&quot;"))
     html = F.concat(F.lit('<html><div id="app" data-page="'), escaped, F.lit('"></div></html>'))
@@ -331,7 +333,7 @@ SQL = {
     "source_yields": f"SELECT {BOARD} AS board, count(*) AS n FROM orders WHERE o_orderkey % 7 <> 0 GROUP BY 1 UNION ALL SELECT 'idle', 0",
     "per_source_topn": "SELECT event_type, event_id FROM (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY event_id) AS r FROM events) WHERE r <= 20",
     "feed_items": "SELECT CAST(page_id % 6 AS VARCHAR) AS source, 'https://news.example/n/' || page_id AS url, 'story ' || event_type AS title, strftime(date_trunc('second', ts), '%Y-%m-%d %H:%M:%S') AS at FROM pages JOIN events ON page_id = event_id",
-    "parse_atom": "SELECT page_id AS id, 'story ' || event_type AS title, 'a b' AS abstract, 'A,B' AS authors FROM pages JOIN events ON page_id = event_id WHERE page_id % 2 = 1",
+    "parse_atom": "SELECT page_id AS id, 'story ' || event_type AS title, 'a b' AS abstract, 'A,B' AS authors FROM pages JOIN events ON page_id = event_id",
     "json_ld_article": "SELECT 'https://a.example/' || page_id AS canonical, CASE WHEN page_id % 2 = 0 THEN 'body ' || page_id ELSE 'seen' END AS full_text FROM pages",
     "extract_embedded_json": """WITH r AS (SELECT *, 's' || (s_suppkey % 1000) AS slug, row_number() OVER (PARTITION BY s_suppkey % 1000 ORDER BY s_nationkey, s_name) AS k FROM supplier)
         SELECT slug, s_name AS entity_name, 'one & only' AS description, 'W24' AS batch, CAST(s_nationkey AS BIGINT) AS employee_count, 'ai' AS tags FROM r WHERE k = 1""",

@@ -57,15 +57,15 @@ def record_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     products = _record(p, "PRODUCT", "p_partkey", {"productName": collides, "startupName": F.col("p_brand"), "rawStartupName": F.col("p_brand"), "pricingModel": F.when(F.col("p_partkey") % 7 < 3, model), "description": F.col("p_type")})
     number = F.col("doc_id").cast("string")
     papers = _record(d, "RESEARCH_PAPER", "doc_id", {
-        "title": F.substring(F.coalesce("text", F.lit("")), 1, 40), "authors": F.col("source"), "paper_url": F.concat(F.lit("https://example.org/p/"), number), "published_date": F.lit("2024-01-01"),
+        "title": F.substring_index(F.coalesce("text", F.lit("")), "\n", 1), "authors": F.col("source"), "paper_url": F.concat(F.lit("https://example.org/p/"), number), "published_date": F.lit("2024-01-01"),
         "github_url": F.when(F.col("doc_id") % 3 != 0, F.concat(F.lit("https://github.com/o"), (F.col("doc_id") % 50).cast("string"), F.lit("/r"), number)), "github_stars": F.col("n_chars"),
         "github_stars_source": F.when(F.col("doc_id") % 5 == 0, "cache").otherwise("github_graphql"),
-        "github_stars_collected_at": F.when(F.col("doc_id") % 7 == 0, "unknown").when(F.col("doc_id") % 11 == 0, "2024-01-01 00:00:00").otherwise("2024-01-30 06:00:00"), "abstract": F.col("lang"),
+        "github_stars_collected_at": F.when(F.col("doc_id") % 7 == 0, "unknown").when(F.col("doc_id") % 11 == 0, "2024-01-01 00:00:00").otherwise("2024-01-30 06:00:00"), "abstract": F.col("text"),
     })
     jobs = _record(o, "JOB", "o_orderkey", {
         "company": F.concat(F.lit("c"), (F.col("o_custkey") % 100).cast("string")), "rawCompany": F.concat(F.lit("C"), (F.col("o_custkey") % 100).cast("string")), "title": F.col("o_orderpriority"),
         "date": F.when(F.col("o_orderkey") % 19 == 0, F.lit(None).cast("string")).when(F.col("o_orderkey") % 2 == 0, "2024-01-30 02:00:00").otherwise(stamp("o_orderdate")),
         "is_remote": (F.col("o_orderkey") % 2 == 0), "role_family": F.lit("Other"), "full_text": F.col("o_orderstatus"),
     })
-    stories = _record(news, "NEWS", "page_id", {"title": F.concat(F.lit("story "), F.col("event_type")), "publisher": F.lit("example"), "published_at": stamp("ts"), "full_text": F.substring("html", 1, 20)})
+    stories = _record(news, "NEWS", "page_id", {"title": F.concat(F.lit("story "), F.col("event_type")), "publisher": F.lit("example"), "published_at": stamp("ts"), "full_text": F.col("html")})
     return startups.unionByName(products).unionByName(papers).unionByName(jobs).unionByName(stories)
