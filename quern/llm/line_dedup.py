@@ -32,7 +32,7 @@ BANDS, PARTS = 8, 3
 #: Of the MinHashes' last two bits, a pair at the threshold has fewer in common with chance 0.0001.
 LEAST_COMMON = 13
 #: Hubs are drawn anew in buckets of more than SMALL lines while at least a PAYS-th of the tests finds a link.
-SMALL, PAYS = 16, 20
+SMALL, PAYS = 64, 20
 #: Longs of a parity sketch.
 WORDS = 16
 #: Up to this many ids or documents travel by broadcast; more, by a shuffle join.
@@ -201,9 +201,7 @@ def _pairs_left(shared: DataFrame, components: DataFrame, texts: DataFrame) -> D
 
 
 def _untested(pairs: DataFrame, settled: list[DataFrame]) -> DataFrame:
-    for done in settled:
-        pairs = pairs.join(done, ["a", "b"], "left_anti")
-    return pairs
+    return pairs.join(functools.reduce(DataFrame.unionByName, settled), ["a", "b"], "left_anti")
 
 
 def removed_lines(docs: DataFrame, name: str) -> DataFrame:
