@@ -22,7 +22,7 @@ def top_rows(rows: DataFrame, keys: list[str], n: int, *order: Column | str) ->
     return rows.withColumn("_place", place).where(F.col("_place") <= n).drop("_place")
 
 
-def per_source_top(rows: DataFrame, source: str, n_sources: int, limit: int, *order: str) -> DataFrame:
+def per_source_top(rows: DataFrame, source: str, n_sources: int, limit: int, *order: Column | str) -> DataFrame:
     """At most ceil(limit / n_sources) rows of each source, in order."""
     return top_rows(rows, [source], -(-max(1, limit) // n_sources), *order)
 

@@ -5,9 +5,6 @@ Raw payloads are built from the tables as the sources would receive them, then p
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -16,6 +13,7 @@ from quern.operators.dedupe import batch_ids, keyset_page, latest_wins, not_yet,
 from quern.operators.enrich import accepted_answer
 from quern.plans.record_sql import NOW
 from quern.sinks.export import new_bodies
+from quern.sinks.shared import scratch
 from quern.sources import boards, catalog, feeds
 from quern.sources.records import now, stamp, table
 from quern.streaming import keyed
@@ -175,8 +173,15 @@ def queue_transition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _items(spark, sf_dir).select("id", move.alias("m")).select("id", "m.status", "m.delay")
 
 
+def _worked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The items after a worker's outcomes."""
+    move = queue.transition(F.col("id") % 4 == 0, F.col("attempts"), F.col("lease_owner"), F.when(F.col("id") % 5 == 0, "w9").otherwise("w0"))
+    return _items(spark, sf_dir).withColumn("status", move["status"])
+
+
 def dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return queue_transition(spark, sf_dir).where("status = 'DEAD'").select("id")
+    url = F.concat(F.lit("https://jobs.example/"), F.col("id").cast("string"))
+    return queue.dead_letters(_worked(spark, sf_dir), "work", url, F.when(F.col("id") % 2 == 0, "FetchError: no answer").otherwise("ParseError: no body"))
 
 
 def expire_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -287,20 +292,15 @@ def _is_file(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(p).isFile()
 
 
-def _scratch(spark: SparkSession) -> str:
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    return f"{named.rstrip('/') if named else 'file://' + tempfile.mkdtemp(prefix='quern-stream-')}/{uuid.uuid4().hex}"
-
-
 def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    where = _scratch(spark)
+    where = scratch(spark)
     rows = _stream(spark, sf_dir).select("user_id", "event_id", "event_type", "value")
     last = keyed.run_available(rows, keyed.upsert_batches(["user_id"], "event_id", path=f"{where}/t"), f"{where}/c")
     return spark.read.parquet(f"{where}/t/v{last}")
 
 
 def stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    where = _scratch(spark)
+    where = scratch(spark)
     rows = keyed.deduplicated(_stream(spark, sf_dir).select("user_id", "event_type", "ts"), ["user_id", "event_type"], "ts", "60 days")
     rows.select("user_id", "event_type").writeStream.format("parquet").option("path", f"{where}/t").option("checkpointLocation", f"{where}/c").trigger(availableNow=True).start().awaitTermination()
     return spark.read.schema("user_id long, event_type string").parquet(f"{where}/t")
@@ -308,7 +308,7 @@ def stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_leases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Items by user; outcomes in no fixed order give a fixed number of attempts until done or dead."""
-    where = _scratch(spark)
+    where = scratch(spark)
     rows = _stream(spark, sf_dir).select("user_id", F.lit("error").alias("outcome"))
 
     def keep(batch: DataFrame, number: int) -> None:
@@ -350,7 +350,8 @@ SQL = {
     "queue_claim": f"WITH {ITEMS} SELECT id, 'LEASED' AS status, attempts + 1 AS attempts, 'w1' AS lease_owner FROM i WHERE {ELIGIBLE} ORDER BY id LIMIT 25",
     "queue_counts": f"WITH {ITEMS} SELECT queue_name, status, count(*) AS n FROM i GROUP BY ALL",
     "queue_transition": f"WITH {ITEMS}, m AS (SELECT id, attempts, {MOVED} AS status FROM i) SELECT id, status, CASE WHEN status = 'PENDING' THEN CAST(least(300, pow(2, greatest(0, attempts - 1))) AS DOUBLE) END AS delay FROM m",
-    "dead_letters": f"WITH {ITEMS} SELECT id FROM i WHERE {MOVED} = 'DEAD'",
+    "dead_letters": f"""WITH {ITEMS} SELECT id, 'work' AS stage, 'https://jobs.example/' || id AS url, CASE WHEN id % 2 = 0 THEN 'FetchError' ELSE 'ParseError' END AS error_type, CASE WHEN id % 2 = 0 THEN 'no answer' ELSE 'no body' END AS message,
+        '{{"id":' || id || ',"queue_name":"' || queue_name || '","attempts":' || attempts || '}}' AS payload FROM i WHERE {MOVED} = 'DEAD'""",
     "expire_signals": f"SELECT event_id FROM events WHERE NOT (event_id % 2 = 0 AND event_id % 5 > 0 AND ts < {NOW} - INTERVAL 24 HOUR)",
     "keyset_scan": "SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderkey > 500 ORDER BY o_orderkey LIMIT 100",
     "batch_numbers": "SELECT CAST(r // 200 AS BIGINT) AS batch, count(*) AS n, min(o_orderkey) AS first FROM (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) - 1 AS r FROM orders) GROUP BY 1",

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quern.functions.keys import canonical_url
 from quern.functions.markup import html_text, joined_url, json_ld
 from quern.functions.text import collapsed
 from quern.functions.times import parse_absolute
+from quern.operators.dedupe import first_wins, per_source_top
 
 _RSS = "channel struct<item:array<struct<title:string,link:string,pubDate:string,date:string>>>"
 _ATOM = "entry array<struct<title:string,link:struct<_rel:string,_href:string>,id:string,summary:string,published:string,updated:string,author:array<struct<name:string>>>>"
@@ -38,6 +39,16 @@ def feed_items(feeds: DataFrame) -> DataFrame:
     return rss_items(feeds.where("body like '%<rss%'")).unionByName(atom_entries(feeds.where("body not like '%<rss%'")))
 
 
+def candidates(items: DataFrame, now: Column, n_sources: int, limit: int) -> DataFrame:
+    """The items worth fetching: dated within a day before now (and five minutes past), an equal share of ``limit`` for each source, newest first.
+
+    An address that two sources list counts for the first of them. Both cuts come before any page is read.
+    """
+    fresh = items.where(F.col("published_at").between(now - F.expr("INTERVAL '24' HOUR"), now + F.expr("INTERVAL '5' MINUTE")))
+    shares = per_source_top(fresh, "source", n_sources, limit, F.col("published_at").desc(), F.col("url"))
+    return first_wins(shares, ["url"], "source").orderBy("source", F.col("published_at").desc(), "url").limit(limit)
+
+
 def atom_papers(feeds: DataFrame) -> DataFrame:
     """paper_id, title, abstract, published_at, authors of the entries of an archive's Atom bodies."""
     e = feeds.select(F.explode(F.from_xml("body", _ATOM, {"ignoreNamespace": "true"})["entry"]).alias("e"))
