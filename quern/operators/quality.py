@@ -11,6 +11,10 @@ from quern.operators.evidence import missing_fields, unproven_fields
 
 # The pricing models that a product may have.
 PRICING = ["FREE", "FREEMIUM", "PAID", "ENTERPRISE"]
+# What a stored record, its source and each proof must have.
+ENVELOPE = ["schemaVersion", "recordKey", "recordType", "collectedAt"]
+SOURCE = ["name", "url", "retrievedAt", "contentHash"]
+PROOF = ["field", "method", "sourceUrl", "sourcePointer"]
 CATALOG, SIGNALS = ["STARTUP", "PRODUCT", "RESEARCH_PAPER"], ["JOB", "NEWS"]
 
 
@@ -41,6 +45,26 @@ def error_flags(now: Column) -> dict[str, Column]:
     return {k: F.coalesce(v, F.lit(False)) for k, v in flags.items()}
 
 
+def _lacks(keys: Column, needed: list[str]) -> Column:
+    return F.size(F.array_except(F.array(*map(F.lit, needed)), F.coalesce(keys, F.array().cast("array<string>")))) > 0
+
+
+def contract_breaks(document: Column) -> Column:
+    """How often a stored record (JSON) breaks the contract: in its envelope, its source, its evidence; 3 at most."""
+    proofs = F.from_json(F.get_json_object(document, "$.evidence"), "array<map<string,string>>")
+    parts = [
+        _lacks(F.json_object_keys(document), ENVELOPE),
+        _lacks(F.json_object_keys(F.get_json_object(document, "$.source")), SOURCE),
+        F.coalesce(F.exists(proofs, lambda p: p.isNotNull() & _lacks(F.map_keys(p), PROOF)), F.lit(False)),
+    ]
+    return sum((p.cast("int") for p in parts), F.lit(0))
+
+
+def type_mismatch(document: Column, record_type: Column) -> Column:
+    """The stored record calls itself another type, or none."""
+    return ~F.coalesce(F.get_json_object(document, "$.recordType") == record_type, F.lit(False))
+
+
 def report(records: DataFrame, now: Column) -> DataFrame:
     """One row per record type: totals, distinct keys and addresses, pass rate, and every error's count."""
     web = is_web_url(F.col("source_url"))

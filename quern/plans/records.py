@@ -80,14 +80,28 @@ def required_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def schema_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = export.public(record_view(spark, sf_dir))
+    view = record_view(spark, sf_dir)
+    docs = export.public(view.withColumn("evidence", F.when(F.col("rid") % 17 != 0, F.col("evidence"))))
     keys = F.json_object_keys("document")
     whole = F.size(F.array_except(F.array(*map(F.lit, ["schemaVersion", "recordKey", "recordType", "source", "content", "evidence"])), keys)) == 0
     return docs.groupBy(F.substring_index("record_key", ":", 1).alias("kind")).agg(F.count("*").alias("n"), F.count_if(whole).alias("whole"))
 
 
+def payload_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored records, some without a part that the contract asks for, or under another type's name."""
+    rid, at = F.col("rid"), F.lit("2024-01-30T12:00:00Z")
+    source = F.struct(F.col("source_name").alias("name"), F.col("source_url").alias("url"), at.alias("retrievedAt"), F.when(rid % 13 != 0, F.sha2("source_url", 256)).alias("contentHash"))
+    proofs = F.transform("evidence", lambda e: F.struct(e["field"].alias("field"), e["method"].alias("method"), e["source_url"].alias("sourceUrl"), F.when(rid % 17 != 0, e["source_pointer"]).alias("sourcePointer"), e["confidence"].alias("confidence")))
+    kind = F.when(rid % 19 != 0, F.col("record_type")).otherwise("OTHER")
+    parts = [F.lit("1.1").alias("schemaVersion"), F.col("record_key").alias("recordKey"), kind.alias("recordType"), F.when(rid % 11 != 0, at).alias("collectedAt"), F.when(rid % 29 != 0, source).alias("source"), proofs.alias("evidence")]
+    rows = record_view(spark, sf_dir).select("record_type", F.to_json(F.struct(*parts)).alias("document"))
+    checked = rows.select("record_type", quality.contract_breaks(F.col("document")).alias("breaks"), quality.type_mismatch(F.col("document"), F.col("record_type")).alias("other"))
+    return checked.groupBy("record_type").agg(F.sum("breaks").alias("schema_contract_mismatch"), F.max("breaks").alias("most"), F.count_if("other").alias("record_type_mismatch"))
+
+
 def domain_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     view = record_view(spark, sf_dir).where("record_type = 'PRODUCT'")
+    view = view.withColumn("evidence", F.transform("evidence", lambda e: e.withField("confidence", F.when(F.col("rid") % 13 == 0, 1.5).when(F.col("rid") % 13 == 1, -0.5).otherwise(e["confidence"]))))
     model = F.col("content")["pricingModel"]
     bad_confidence = F.exists("evidence", lambda e: ~e["confidence"].between(0.0, 1.0))
     return view.select("rid", F.coalesce(model, F.lit("none")).alias("pricing"), (model.isNull() | model.isin(quality.PRICING)).alias("fits"), bad_confidence.alias("bad_confidence"))
@@ -172,8 +186,10 @@ SQL = {
         count(*) FILTER ({FILLED} AND NOT proven AND field NOT IN ('github_url', 'github_stars')) = 0 AS accepted FROM fld GROUP BY ALL""",
     "populated_fields": f"WITH {CHECKS} SELECT record_type, rid, coalesce(names, '') AS names FROM per",
     "required_fields": f"WITH {CHECKS} SELECT record_type, rid, absent FROM miss",
-    "schema_contract": f"{VR} SELECT split_part(record_key, ':', 1) AS kind, count(*) AS n, count(*) AS whole FROM rec GROUP BY 1",
-    "domain_checks": f"{VR} SELECT rid, coalesce(value, 'none') AS pricing, value IS NULL OR value IN ('FREE', 'PAID') AS fits, false AS bad_confidence FROM fld WHERE field = 'pricingModel'",
+    "schema_contract": f"{VR} SELECT split_part(record_key, ':', 1) AS kind, count(*) AS n, count(*) FILTER (rid % 17 <> 0) AS whole FROM rec GROUP BY 1",
+    "payload_contract": f"""{VR} SELECT record_type, CAST(sum(b) AS BIGINT) AS schema_contract_mismatch, CAST(max(b) AS INT) AS most, count(*) FILTER (rid % 19 = 0) AS record_type_mismatch
+        FROM (SELECT *, CAST(rid % 11 = 0 AS INT) + CAST(rid % 13 = 0 OR rid % 29 = 0 AS INT) + CAST(rid % 17 = 0 AS INT) AS b FROM rec) GROUP BY 1""",
+    "domain_checks": f"{VR} SELECT rid, coalesce(value, 'none') AS pricing, value IS NULL OR value IN ('FREE', 'PAID') AS fits, rid % 13 < 2 AS bad_confidence FROM fld WHERE field = 'pricingModel'",
     "evidence_replace": f"{VR} SELECT rid, CAST(count(*) FILTER (proven) AS INT) AS n, 'llm' AS last_method, 1 AS stars FROM fld WHERE record_type = 'RESEARCH_PAPER' GROUP BY rid",
     "count_by_type": f"{VR} SELECT record_type, count(*) AS n FROM rec GROUP BY 1",
     "export_manifest": f"{VR} SELECT record_type, count(*) AS records, min(record_key) AS first_key, max(record_key) AS last_key FROM rec GROUP BY 1",
@@ -189,4 +205,4 @@ SQL = {
     "latest_records": f"{VR} SELECT record_key, max(rid) AS rid, any_value(record_type) AS record_type FROM rec GROUP BY 1",
 }
 SQL["llm_budget"] = f"WITH c AS ({SQL['llm_candidates']}), r AS (SELECT rid, row_number() OVER (ORDER BY rid) <= 50 AS called FROM c) SELECT called, count(*) AS n, max(rid) AS last FROM r GROUP BY called"
-QUERIES = [quality_report, quality_errors, submission_gate, evidence_gate, populated_fields, required_fields, schema_contract, domain_checks, evidence_replace, count_by_type, export_manifest, quality_rollup, public_contract, hydrate_legacy, flatten_tabs, llm_candidates, llm_budget, llm_validate, latest_records]
+QUERIES = [quality_report, quality_errors, submission_gate, evidence_gate, populated_fields, required_fields, schema_contract, payload_contract, domain_checks, evidence_replace, count_by_type, export_manifest, quality_rollup, public_contract, hydrate_legacy, flatten_tabs, llm_candidates, llm_budget, llm_validate, latest_records]
