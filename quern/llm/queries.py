@@ -8,11 +8,12 @@ import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quern.llm import ann, bpe, line_dedup, lm_scoring, near_dedup, packing, quality_classifier, quality_rules, substring_dedup, token_counts
+from quern.llm import alignment, ann, bpe, line_dedup, lm_scoring, near_dedup, packing, quality_classifier, quality_rules, substring_dedup, token_counts
 from quern.llm.common import documents
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def op1_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,6 +60,10 @@ def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), k=10, query_every=100)
 
 
+def op11_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.alignment_digests(documents(spark, sf_dir), BYTE_BPE, PIECES)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named = [
         op1_bpe_round_trip,
@@ -71,6 +76,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_best_fit_packing,
         op9_lm_scoring,
         op10_nearest_neighbours,
+        op11_tokenizer_alignment,
     ]
     return {f.__name__: f for f in named} | {"pipeline": corpus_pipeline.run}
 
