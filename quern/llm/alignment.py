@@ -76,8 +76,8 @@ class Pieces:
         self.size = m.get_piece_size()
         names = [m.id_to_piece(i) for i in range(self.size)]
         self.raw = [bytes([int(p[3:5], 16)]) if m.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(names)]
-        self.apart = not any("▁" in p.lstrip("▁") for p in names)
         self.space = [m.piece_to_id("▁")]
+        self.apart = self.space != [m.unk_id()] and not any("▁" in p.lstrip("▁") for p in names)
         self.cache: dict[str, list[int]] = {" ": self.space}  # the library gives an empty text no token
 
     def encode(self, text: str) -> list[int]:
