@@ -8,7 +8,7 @@ import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quern.llm import alignment, ann, bpe, conversations, line_dedup, lm_scoring, near_dedup, packing, quality_classifier, quality_rules, substring_dedup, token_counts
+from quern.llm import alignment, ann, bpe, conversations, language_id, line_dedup, lm_scoring, near_dedup, packing, quality_classifier, quality_rules, substring_dedup, token_counts
 from quern.llm.common import documents
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -64,6 +64,10 @@ def op11_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.alignment_digests(documents(spark, sf_dir), BYTE_BPE, PIECES)
 
 
+def op12_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(documents(spark, sf_dir))
+
+
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.repair_digests(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
 
@@ -81,6 +85,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op9_lm_scoring,
         op10_nearest_neighbours,
         op11_tokenizer_alignment,
+        op12_language_id,
         op13_conversation_repair,
     ]
     return {f.__name__: f for f in named} | {"pipeline": corpus_pipeline.run}
