@@ -339,7 +339,10 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
 
     rows = need(docs, "doc_id", "text")
     _, held_out = _training(need(docs, "doc_id", "text", "lang"))
-    return map_batches(rows.select(F.col("doc_id").cast("long").alias("doc_id"), held_out.alias("held_out"), "text"), run, "doc_id long, held_out boolean, lang_pred string, score double")
+    rows = rows.select(F.col("doc_id").cast("long").alias("doc_id"), held_out.alias("held_out"), "text")
+    if not model.labels:
+        return rows.select("doc_id", "held_out", F.lit(UNDETERMINED).alias("lang_pred"), F.lit(0.0).alias("score"))
+    return map_batches(rows, run, "doc_id long, held_out boolean, lang_pred string, score double")
 
 
 def identify(docs: DataFrame) -> DataFrame:

@@ -3,6 +3,9 @@
 A line's set holds the shingles of eight characters at each of its characters; a shorter line is one
 shingle. Equal lines meet first, by hash; each distinct line is signed once. Its shingles fall into
 PARTS by hash, and a band takes one MinHash from every part. Lines that share a band share a bucket.
+A short line has few shingles, and one that differs may be all of its part, so lines of up to SHORT
+characters also share a bucket for each of their first shingles by hash: two sets at the threshold
+have one of these in common, so no pair of short lines is lost.
 Each bucket's best met line is compared with the others. Hubs are drawn anew in large buckets that hold
 several components (another one in each bucket) as long as that pays; at last come all pairs that no
 component joins and no test has settled. Fingerprints of two bits a MinHash, and parity sketches in the
@@ -27,8 +30,9 @@ from quern.llm.components import connected_components, joined_components
 PERCENT = 80
 #: Characters of a shingle (UTF-16 units: one beyond the basic plane counts as two).
 SHINGLE = 8
-#: A pair at the threshold misses all eight bands of three with chance 0.003, one at 0.9 with 0.00003.
-BANDS, PARTS = 8, 3
+#: A pair at the threshold misses all eight bands of three with chance 0.003, one at 0.9 with 0.00003, if
+#: what differs is spread over the parts; lines of up to SHORT characters, where it isn't, don't rest on bands.
+BANDS, PARTS, SHORT = 8, 3, 48
 #: Of the MinHashes' last two bits, a pair at the threshold has fewer in common with chance 0.0001.
 LEAST_COMMON = 13
 #: Hubs are drawn anew in buckets of more than SMALL lines while at least a PAYS-th of the tests finds a link.
@@ -89,11 +93,18 @@ def band_keys(shingles: DataFrame) -> DataFrame:
     return parts.groupBy("id").agg(*keys, prints).select("id", F.array(*[f"b{b}" for b in range(BANDS)]).alias("bands"), "print")
 
 
+def first_shingles(line: str) -> Column:
+    """The least hashes of a line's set, so many that any set at the threshold shares one of them."""
+    least = F.transform(F.array(F.sort_array(shingle_set(line))), lambda s: F.slice(s, F.lit(1), F.floor(F.size(s) * (100 - PERCENT) / 100 + 1e-9).cast("int") + 1))
+    return least[0]
+
+
 def _alike(a: str, b: str) -> Column:
-    """The fingerprints have enough in common."""
+    """The fingerprints have enough in common; those of short lines, null, don't tell."""
     apart = F.col(a).bitwiseXOR(F.col(b))
     odd = F.lit(0x5555555555555555).cast("long")
-    return BANDS * PARTS - F.bit_count(apart.bitwiseOR(F.shiftrightunsigned(apart, 1)).bitwiseAND(odd)) >= LEAST_COMMON
+    common = BANDS * PARTS - F.bit_count(apart.bitwiseOR(F.shiftrightunsigned(apart, 1)).bitwiseAND(odd))
+    return F.coalesce(common, F.lit(BANDS * PARTS)) >= LEAST_COMMON
 
 
 def odd_sketches(sets: DataFrame) -> DataFrame:
@@ -134,10 +145,18 @@ def _pair(x: str, y: str) -> list[Column]:
     return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
 
+def _short(lines: DataFrame) -> DataFrame:
+    """id, first: the bucket keys of short lines that lose no pair."""
+    return lines.where(F.length("line") <= SHORT).select("id", first_shingles("line").alias("first"))
+
+
 def shared_buckets(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """key, id, n: the lines of every bucket that holds n > 1 of them; and id, print of these lines."""
     lines = occurrences(docs).groupBy("id").agg(F.first("line").alias("line"))
-    signed = written(band_keys(shingle_rows(lines)), "signed")
+    # both aggregations are dealt out by id, so the lines' keys meet without another shuffle
+    found = band_keys(shingle_rows(lines)).alias("found").join(_short(lines).alias("short"), "id", "left")
+    bands = F.concat("bands", F.coalesce("first", F.array().cast("array<long>")))
+    signed = written(found.select("id", bands.alias("bands"), F.when(F.col("first").isNull(), F.col("print")).alias("print")), "signed")
     keys = signed.select(F.explode("bands").alias("key"), "id")
     # counts before members: a hot bucket is summed in parts, and its members meet it in a join that splits
     counts = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")

@@ -372,3 +372,16 @@ def test_pipeline(spark, tmp_path, docs, labels):
     fill = out.groupBy("sequence_id").agg(F.sum("length").alias("n")).agg(F.max("n")).first()[0]
     assert 0 < fill <= corpus_pipeline.CAPACITY
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality classifier", "line dedup", "near dedup", "substring dedup", "packing"]
+
+
+def test_pipeline_stages_own_their_tables(spark, tmp_path, docs, labels, empty):
+    """Stages one after another without storing in between, over rows with clashing names, repeats and nulls."""
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    for given in (docs, empty):
+        kept = given
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            kept = stage(spark, kept, str(tmp_path))
+            assert kept.columns == given.columns
+        packed = corpus_pipeline.STAGES[-1][1](spark, kept, str(tmp_path))
+        ids = {r.doc_id for r in kept.select("doc_id").collect()}
+        assert {r.doc_id for r in packed.select("doc_id").distinct().collect()} == ids

@@ -5,7 +5,7 @@ from collections import Counter
 
 import numpy as np
 
-from quern.llm import near_dedup, quality_rules
+from quern.llm import line_dedup, near_dedup, quality_rules
 
 
 def words(rnd, n):
@@ -33,6 +33,31 @@ def test_near_pairs_at_the_threshold(spark):
     assert found >= 398
 
 
+def line_pair(rnd, n):
+    """A line of n characters and the most changed one at the threshold or over: cut, extended or altered at an end."""
+    line = "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(n - 2))
+    line = f"x{line}y"
+    changed = [line[:-k] for k in range(1, n)] + [line + "0123456789"[:k] for k in range(1, 10)] + [line[:-k] + "0" * k for k in range(1, n)] + [line[:k] + "#" + line[k + 1 :] for k in range(n)]
+    sets = [{x[i : i + 8] for i in range(max(len(x) - 7, 1))} for x in [line, *changed]]
+    near = [(len(sets[0] & s) / len(sets[0] | s), x) for s, x in zip(sets[1:], changed, strict=True) if 5 * len(sets[0] & s) >= 4 * len(sets[0] | s)]
+    least = min(j for j, _ in near)
+    return line, rnd.choice([x for j, x in near if j == least])
+
+
+def test_line_pairs_at_the_threshold(spark):
+    """The least alike pairs that still link, by length of the lines: all short ones are found, and nearly all long ones."""
+    rnd, rows = random.Random(23), []
+    for n in (12, 13, 14, 16, 20, 40, 48, 60, 100):
+        for _ in range(300):
+            a, b = line_pair(rnd, n)
+            rows += [(len(rows), a, n), (len(rows) + 1, b, n)]
+    got = {r.doc_id: r.n_removed for r in line_dedup.line_digests(spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")).collect()}
+    found = Counter(n for i, _, n in rows if i % 2 and got[i])
+    assert not any(got[i] for i, _, _ in rows if i % 2 == 0)
+    assert all(found[n] == 300 for n in (12, 13, 14, 16, 20, 40))
+    assert all(found[n] >= 297 for n in (48, 60, 100)), found
+
+
 def plain_buckets(text):
     raw = (" " + " ".join(text.lower().split()) + " ").encode()
     out = []
