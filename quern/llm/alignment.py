@@ -23,16 +23,18 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quern.llm.bpe import CACHE_WORDS, byte_symbols
+from quern.llm.bpe import byte_symbols
 from quern.llm.common import fresh_path, map_batches, need, written
-from quern.llm.lm_scoring import _mapped, _store
+from quern.llm.lm_scoring import _mapped, _store, _summed
 
 #: The split into words that byte-level vocabularies of this kind are made with.
 _SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Characters of text that are tokenized, and tokens that are aligned, at once.
-_BLOCK = 4_000_000
-#: Pairs of a block and document that a counting task gathers before it hands them on.
-_FLUSH = 4_000_000
+#: Tokens that are aligned at once (one text's at least).
+_BLOCK = 600_000
+#: Documents' pairs that a counting task gathers before it sums them, and sums that it holds at most before it hands them on.
+_FLUSH = 1_000_000
+#: Above this many cached parts of texts a worker starts its cache afresh.
+_CACHE = 250_000
 #: Pairs that a stored file holds on average.
 RANGE_PAIRS = 250_000
 #: Longest stretch of ends that one lane of the galloping search goes through.
@@ -52,21 +54,24 @@ class ByteLevel:
             a, b = merge.split(" ") if isinstance(merge, str) else merge
             if ranks[bytes(byte_of[c] for c in a + b)] != 256 + m:
                 raise ValueError(f"{path}: ids are not in the order of merges")
+        if any(bytes([b]) not in ranks for b in range(256)):
+            raise ValueError(f"{path}: not every byte is a token")
         self.size = 1 + max(max(ranks.values()), *(t["id"] for t in spec["added_tokens"]), 0)
         self.raw = [b""] * self.size
         for raw, i in ranks.items():
             self.raw[i] = raw
         self._encode = tiktoken.Encoding("bytes", pat_str=_SPLIT, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
 
-    def encode(self, text: str) -> list[int]:
-        return self._encode(" " + text)
+    def encode(self, text: str) -> bytes:
+        """The ids as little-endian 32-bit numbers. With a token for each byte they always give the text back."""
+        return np.array(self._encode(" " + text), "<u4").tobytes()
 
 
 class Pieces:
     """Tokenizer B: a sentence-piece model, which puts a space before a text.
 
     No piece goes on after a space, so what begins with spaces and ends before the next is encoded
-    once and kept (up to CACHE_WORDS of them).
+    once and kept (up to _CACHE of them).
     """
 
     _parts = re.compile(" *[^ ]+| +")
@@ -76,22 +81,29 @@ class Pieces:
         self.size = m.get_piece_size()
         names = [m.id_to_piece(i) for i in range(self.size)]
         self.raw = [bytes([int(p[3:5], 16)]) if m.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(names)]
-        self.space = [m.piece_to_id("▁")]
-        self.apart = self.space != [m.unk_id()] and not any("▁" in p.lstrip("▁") for p in names)
-        self.cache: dict[str, list[int]] = {" ": self.space}  # the library gives an empty text no token
+        space = m.piece_to_id("▁")
+        self.apart = space != m.unk_id() and not any("▁" in p.lstrip("▁") for p in names)
+        self.first = {" ": np.array([space], "<u4").tobytes()}  # the library gives an empty text no token
+        self.cache: dict[str, bytes | None] = dict(self.first)
 
-    def encode(self, text: str) -> list[int]:
+    def _packed(self, part: str, ids: list[int]) -> bytes | None:
+        """None if the pieces don't give the part back."""
+        return np.array(ids, "<u4").tobytes() if b"".join(map(self.raw.__getitem__, ids)) == part.encode("utf-8", "surrogatepass") else None
+
+    def encode(self, text: str) -> bytes | None:
+        """The ids as little-endian 32-bit numbers; None if their bytes are not those of a space and the text."""
         if not self.apart:
-            return self.model.encode(text)
+            return self._packed(" " + text, self.model.encode(text))
         parts = self._parts.findall(" " + text)
         cache = self.cache
         if new := [p for p in dict.fromkeys(parts) if p not in cache]:
-            if len(cache) > CACHE_WORDS:
+            if len(cache) > _CACHE:
                 cache.clear()
-                cache[" "] = self.space
+                cache.update(self.first)
                 new = [p for p in dict.fromkeys(parts) if p not in cache]
-            cache.update(zip(new, self.model.encode([p[1:] for p in new], num_threads=1), strict=True))
-        return list(itertools.chain.from_iterable(map(cache.__getitem__, parts)))
+            cache.update(zip(new, map(self._packed, new, self.model.encode([p[1:] for p in new], num_threads=1)), strict=True))
+        found = list(map(cache.__getitem__, parts))
+        return None if None in found else b"".join(found)
 
 
 _loaded: dict[tuple[str, str], tuple[ByteLevel, Pieces]] = {}
@@ -103,10 +115,6 @@ def _tokenizers(path_a: str, path_b: str) -> tuple[ByteLevel, Pieces]:
     return _loaded[path_a, path_b]
 
 
-def _joined(raw: list[bytes], ids: list[int]) -> bytes:
-    return b"".join(map(raw.__getitem__, ids))
-
-
 def encoded(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
     """doc_id, a, b: the tokens of every row (little-endian 32-bit ids), empty where the text is null or
     empty or either side's bytes are not those of a space and the text."""
@@ -116,11 +124,9 @@ def encoded(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
         out: tuple[list[bytes], list[bytes]] = ([], [])
         for text in batch.column(1):
             t = text.as_py()
-            x, y, raw = [], [], b" " + t.encode("utf-8", "surrogatepass") if t else b""
-            if t and _joined(a.raw, x := a.encode(t)) != raw or t and _joined(b.raw, y := b.encode(t)) != raw:
-                x, y = [], []
-            out[0].append(np.array(x, "<u4").tobytes())
-            out[1].append(np.array(y, "<u4").tobytes())
+            pieces = b.encode(t) if t else None
+            out[0].append(a.encode(t) if pieces else b"")
+            out[1].append(pieces or b"")
         return pa.RecordBatch.from_arrays([batch.column(0), pa.array(out[0], pa.binary()), pa.array(out[1], pa.binary())], ["doc_id", "a", "b"])
 
     return map_batches(need(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long")), run, "doc_id long, a binary, b binary")
@@ -199,7 +205,7 @@ class Aligned:
 
 
 def _blocks(batch: pa.RecordBatch) -> Iterator[tuple[int, int, list[np.ndarray], list[np.ndarray]]]:
-    """First and last row and the ids of stretches of rows, of about _BLOCK bytes of ids or one row."""
+    """First and last row and the ids of stretches of rows, of about _BLOCK tokens or one row."""
     a, b = (batch.column(i).to_pylist() for i in (1, 2))
     at = 0
     while at < len(a):
@@ -218,13 +224,12 @@ def _sizes(path_a: str, path_b: str) -> tuple[np.ndarray, np.ndarray]:
 def pair_counts(tokens: DataFrame, path_a: str, path_b: str) -> DataFrame:
     """a, b, n: in how many rows of the tokens each pair of ids is linked at least once."""
 
-    def flush(parts: list[np.ndarray]) -> pa.RecordBatch:
-        keys, n = np.unique(np.concatenate(parts), return_counts=True)
+    def out(keys: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(keys >> 32, pa.int32()), pa.array(keys & 0xFFFFFFFF, pa.int32()), pa.array(n, pa.int64())], ["a", "b", "n"])
 
     def run(batches):
         len_a, len_b = _sizes(path_a, path_b)
-        parts, size = [], 0
+        parts, fresh = [], 0
         for batch in batches:
             for _, _, a, b in _blocks(batch):
                 x = Aligned(a, b, len_a, len_b)
@@ -232,13 +237,14 @@ def pair_counts(tokens: DataFrame, path_a: str, path_b: str) -> DataFrame:
                 order = np.lexsort((keys, x.doc))
                 keys, doc = keys[order], x.doc[order]
                 new = np.r_[True, (keys[1:] != keys[:-1]) | (doc[1:] != doc[:-1])] if len(keys) else np.zeros(0, bool)
-                parts.append(keys[new])
-                size += len(parts[-1])
-                if size >= _FLUSH:
-                    yield flush(parts)
-                    parts, size = [], 0
+                parts.append((keys[new], np.ones(int(new.sum()), np.int64)))
+                fresh += len(parts[-1][0])
+                if fresh >= _FLUSH:
+                    parts, fresh = [_summed(*(np.concatenate(p) for p in zip(*parts, strict=True)))], 0
+                    if len(parts[0][0]) >= _FLUSH:
+                        yield out(*parts.pop())
         if parts:
-            yield flush(parts)
+            yield out(*_summed(*(np.concatenate(p) for p in zip(*parts, strict=True))))
 
     return tokens.mapInArrow(run, "a int, b int, n long").groupBy("a", "b").agg(F.sum("n").alias("n"))
 
