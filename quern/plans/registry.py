@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quern.plans import entities, records, tables, values
+from quern.plans import entities, records, streams, tables, values
 
-MODULES = [records, values, tables, entities]
+MODULES = [records, values, tables, entities, streams]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

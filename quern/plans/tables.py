@@ -306,19 +306,6 @@ def stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema("user_id long, event_type string").parquet(f"{where}/t")
 
 
-def stream_leases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Items by user; outcomes in no fixed order give a fixed number of attempts until done or dead."""
-    where = scratch(spark)
-    rows = _stream(spark, sf_dir).select("user_id", F.lit("error").alias("outcome"))
-
-    def keep(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{where}/t/v{number}")
-
-    query = keyed.leased(rows, "user_id").writeStream.outputMode("update").foreachBatch(keep).option("checkpointLocation", f"{where}/c").trigger(availableNow=True).start()
-    query.awaitTermination()
-    return spark.read.schema("user_id long, status string, attempts int").parquet(f"{where}/t/v0")
-
-
 BOARD = "list_element(['arbeitnow', 'remoteok', 'jobicy', 'himalayas', 'remotive'], CAST(o_orderkey % 5 AS INT) + 1)"
 SPELT = "'Brand ' || translate(CAST(c_custkey AS VARCHAR), '0123456789', 'abcdefghij') || ' works'"
 KEY = "lower('Brand ' || translate(CAST(c_custkey AS VARCHAR), '0123456789', 'abcdefghij') || ' works')"
@@ -367,10 +354,9 @@ SQL = {
     "events_per_day": "SELECT strftime(date_trunc('day', ts), '%Y-%m-%d %H:%M:%S') AS day, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY ALL",
     "stream_upsert": "SELECT user_id, max(event_id) AS event_id, arg_max(event_type, event_id) AS event_type, arg_max(value, event_id) AS value FROM events GROUP BY 1",
     "stream_dedupe": "SELECT DISTINCT user_id, event_type FROM events",
-    "stream_leases": "SELECT user_id, CASE WHEN count(*) >= 4 THEN 'DEAD' ELSE 'PENDING' END AS status, CAST(least(4, count(*)) AS INT) AS attempts FROM events GROUP BY 1",
 }
 QUERIES = [
     board_items, job_normalize, source_yields, per_source_topn, feed_items, parse_atom, json_ld_article, news_join_article, extract_embedded_json, map_product, scan_papers, upsert_latest,
     checkpoint_latest, enqueue_dedupe, queue_eligible, queue_claim, queue_counts, queue_transition, dead_letters, expire_signals, keyset_scan, batch_numbers, graphql_batches, enrich_lookup,
-    refresh_coverage, key_hash_rate, canonical_names, entity_exact, entity_resolve, apply_canonical, llm_gate, raw_store, late_split, events_per_day, stream_upsert, stream_dedupe, stream_leases,
+    refresh_coverage, key_hash_rate, canonical_names, entity_exact, entity_resolve, apply_canonical, llm_gate, raw_store, late_split, events_per_day, stream_upsert, stream_dedupe,
 ]

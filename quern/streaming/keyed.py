@@ -1,13 +1,11 @@
-"""Streaming forms: deduplication, keyed upsert, the late split, and leased work with state."""
+"""Streaming forms: deduplication, keyed upsert, and the late split."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from quern.operators.dedupe import latest_wins
 
@@ -46,25 +44,3 @@ def run_available(stream: DataFrame, batch: Callable[[DataFrame, int], None], ch
     query = stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
     return query.lastProgress["batchId"] if query.lastProgress else -1
-
-
-def leased(stream: DataFrame, key: str, max_attempts: int = 4) -> DataFrame:
-    """key, status, attempts: items (key, outcome) as a state machine with one state per key.
-
-    Outcomes are ``claimed``, ``expired`` (a lease ran out), ``ok`` or ``error``. A claim and a failure
-    without one each count as an attempt. Done and dead items take no more.
-    """
-
-    def step(k, batches, state: GroupState):
-        status, attempts = state.get if state.exists else ("PENDING", 0)
-        for pdf in batches:
-            for outcome in pdf["outcome"]:
-                if status in ("DONE", "DEAD"):
-                    break
-                attempts += status != "LEASED"
-                status = {"claimed": "LEASED", "ok": "DONE"}.get(outcome) or ("PENDING" if attempts < max_attempts else "DEAD")
-        state.update((status, attempts))
-        yield pd.DataFrame({key: [k[0]], "status": [status], "attempts": [attempts]})
-
-    kind = stream.schema[key].dataType.simpleString()
-    return stream.groupBy(key).applyInPandasWithState(step, f"{key} {kind}, status string, attempts int", "status string, attempts int", "update", GroupStateTimeout.NoTimeout)
