@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quern.functions import keys, markup, text, times
-from quern.operators import evidence, fragments, queue
+from quern.operators import evidence, fragments, queue, quotes
 from quern.operators.dedupe import first_wins
 from quern.operators.enrich import fallback
 from quern.plans.record_sql import NOW
@@ -211,16 +211,12 @@ def fragment_select(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quote_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each benchmark text as a quote, looked for in every document: pairs meet on a word window first."""
-    docs, quotes = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
-    # A quote of five words or more starts some five-word window of its document, cut at plain spaces
-    wordy = lambda c: F.split(c, " ")
-    window = lambda w, i: F.xxhash64(F.array_join(F.slice(w, i, 4), " "))
-    quotes = quotes.where(F.size(wordy("text")) >= 6).select("item_id", F.col("text").alias("quote"), window(wordy("text"), 2).alias("key"))
-    spots = docs.select("doc_id", "text", wordy("text").alias("w")).where("size(w) >= 4")
-    spots = spots.select("doc_id", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.size("w") - 3), lambda i: window(F.col("w"), i)))).alias("key"))
-    pairs = spots.join(quotes, "key").select("doc_id", "item_id", "quote").distinct()
-    return pairs.join(docs.select("doc_id", "text"), "doc_id").where(evidence.quoted(F.col("text"), F.col("quote"))).select("doc_id", "item_id").distinct()
+    """Each benchmark text, and its last few letters as a short quote, looked for in every document."""
+    benchmark = table(spark, sf_dir, "benchmark")
+    few = (F.col("item_id") % 14 + 4).cast("int")
+    short = benchmark.select((-F.col("item_id") - 1).alias("item"), F.substring("text", -few, few).alias("quote"))
+    pairs = quotes.holders(table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text"), benchmark.select(F.col("item_id").alias("item"), F.col("text").alias("quote")).unionByName(short))
+    return pairs.select(F.col("id").alias("doc_id"), F.col("item").alias("item_id"))
 
 
 def fallback_trace(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -280,7 +276,8 @@ SQL = {
     "payload_shrink": "SELECT doc_id, CAST(least(length(text), greatest(384, length(text) // 2)) AS INT) AS chars FROM documents",
     "fragment_rank": f"WITH {RANKED} SELECT conv_id, CAST(place AS INT) AS place, CAST(pos AS INT) AS pos, round(score, 6) AS score, CAST(tokens AS BIGINT) AS tokens FROM r",
     "fragment_select": f"WITH RECURSIVE {RANKED}, g(conv_id, place, remains, n, used) AS (SELECT conv_id, 0, 60, 0, 0 FROM conversations GROUP BY conv_id UNION ALL SELECT g.conv_id, g.place + 1, CASE WHEN r.tokens <= remains THEN remains - r.tokens ELSE remains END, CASE WHEN r.tokens <= remains THEN n + 1 ELSE n END, CASE WHEN r.tokens <= remains THEN used + r.tokens ELSE used END FROM g JOIN r ON r.conv_id = g.conv_id AND r.place = g.place + 1) SELECT conv_id, CAST(max(n) AS INT) AS n, CAST(max(used) AS BIGINT) AS tokens FROM g GROUP BY conv_id",
-    "quote_gate": "SELECT doc_id, item_id FROM documents d JOIN benchmark b ON contains(d.text, b.text) WHERE len(string_split(b.text, ' ')) >= 6",
+    "quote_gate": """WITH q AS (SELECT item_id, text AS q FROM benchmark UNION ALL SELECT -item_id - 1, right(text, CAST(item_id % 14 + 4 AS INT)) FROM benchmark)
+        SELECT doc_id, item_id FROM documents d JOIN q ON contains(d.text, trim(q.q, ' ' || chr(9) || chr(10) || chr(13)))""",
     "first_wins_dedupe": "SELECT user_id, event_type, min(event_id) AS event_id, arg_min(value, event_id) AS value FROM events GROUP BY ALL",
 }
 QUERIES = [
