@@ -12,9 +12,11 @@ from quern.operators import queue, resolve
 from quern.operators.dedupe import batch_ids, keyset_page, latest_wins, not_yet, per_source_top, upsert
 from quern.operators.enrich import accepted_answer
 from quern.plans.record_sql import NOW
+from quern.sinks.buckets import KeyedTable
 from quern.sinks.export import new_bodies
 from quern.sinks.shared import scratch
 from quern.sources import boards, catalog, feeds
+from quern.sources.chains import chained
 from quern.sources.records import now, stamp, table
 from quern.streaming import keyed
 
@@ -121,6 +123,32 @@ def map_product(spark: SparkSession, sf_dir: str) -> DataFrame:
     return catalog.products(bodies).select("id", "startup_name", "product_name", "likes", F.array_join("tags", ",").alias("tags"))
 
 
+def _cursor_pages(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """page, address, next, body of product lists of ten parts, linked three pages on; some link back, some to none. And the three starts."""
+    address = lambda page: F.concat(F.lit("https://p.example/list?page="), page.cast("string"))
+    part = F.col("p_partkey")
+    item = F.struct(F.concat(F.lit("own/app-"), (part % 700).cast("string")).alias("id"), (part % 5 == 0).alias("private"), F.col("p_size").alias("likes"))
+    bodies = table(spark, sf_dir, "part").groupBy(F.floor(part / 10).alias("page")).agg(F.to_json(F.transform(F.sort_array(F.collect_list(F.struct("p_partkey", item.alias("i")))), lambda x: x["i"])).alias("body"))
+    page = F.col("page")
+    to = F.when(page % 41 == 40, None).when(page % 50 == 49, page - 30).otherwise(page + 3)
+    link = F.when(to.isNotNull(), F.concat(F.lit("<"), address(to), F.lit('>; rel="next", <https://p.example/list>; rel="first"')))
+    pages = bodies.select("page", address(page).alias("address"), catalog.next_cursor(F.coalesce(link, F.lit(""))).alias("next"), "body")
+    return pages, spark.range(3).select(address(F.col("id")).alias("start"))
+
+
+def scan_filter_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Products in the order in which cursors lead through their pages: private ones go, the first of each id stays."""
+    pages, starts = _cursor_pages(spark, sf_dir)
+    inside, _ = chained(pages, starts)
+    order = F.col("place") * 10 + F.substring_index("start", "=", -1).cast("long")
+    raw = inside.join(pages.select("address", "body"), "address").select(order.alias("page"), "body")
+    return catalog.products(raw).select("id", "likes", "page")
+
+
+def scan_aside(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chained(*_cursor_pages(spark, sf_dir))[1]
+
+
 def scan_papers(spark: SparkSession, sf_dir: str) -> DataFrame:
     paper = F.struct(F.concat(F.lit("24."), (F.col("doc_id") % 700).cast("string"), F.lit("v1")).alias("id"), F.col("lang").alias("title"), F.when(F.col("doc_id") % 2 == 0, F.concat(F.lit("see https://github.com/a/b"), F.col("doc_id").cast("string"), F.lit(".git)."))).alias("summary"))
     entry = F.when(F.col("doc_id") % 3 == 0, F.to_json(F.struct(paper.alias("paper")))).otherwise(F.to_json(paper))
@@ -240,7 +268,8 @@ def _canon(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def entity_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = resolve.resolve(_spellings(spark, sf_dir).where("c_custkey % 3 = 0 and c_custkey % 10 < 8"), _canon(spark, sf_dir))
+    """Of all customers those whose name is a canonical one, up to case and legal form."""
+    found = resolve.resolve(_spellings(spark, sf_dir), _canon(spark, sf_dir)).where("method = 'exact'")
     return found.select("raw_name", "canonical_name", "method", "status")
 
 
@@ -294,9 +323,9 @@ def _is_file(spark: SparkSession, path: str) -> bool:
 
 def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     where = scratch(spark)
-    rows = _stream(spark, sf_dir).select("user_id", "event_id", "event_type", "value")
-    last = keyed.run_available(rows, keyed.upsert_batches(["user_id"], "event_id", path=f"{where}/t"), f"{where}/c")
-    return spark.read.parquet(f"{where}/t/v{last}")
+    latest = KeyedTable(spark, f"{where}/t", "user_id long, event_id long, event_type string, value double", ["user_id"], ["event_id"])
+    keyed.run_available(_stream(spark, sf_dir).select("user_id", "event_id", "event_type", "value"), latest.upsert, f"{where}/c")
+    return latest.read()
 
 
 def stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -313,7 +342,16 @@ STATE = "list_element(['PENDING', 'LEASED', 'DONE'], CAST(event_id % 3 AS INT) +
 ITEMS = f"i AS (SELECT event_id AS id, event_type AS queue_name, {STATE} AS status, CAST(json_extract_string(props, '$.k') AS INT) % 6 AS attempts, ts FROM events)"
 ELIGIBLE = f"queue_name = 'view' AND ts <= {NOW} AND (status = 'PENDING' OR status = 'LEASED' AND ts + INTERVAL 10 DAY < {NOW})"
 MOVED = "CASE WHEN id % 5 = 0 THEN 'UNCHANGED' WHEN id % 4 = 0 THEN 'DONE' WHEN attempts < 4 THEN 'PENDING' ELSE 'DEAD' END"
+CHAINS = """WITH RECURSIVE p AS (SELECT page, CASE WHEN page % 41 = 40 THEN NULL WHEN page % 50 = 49 THEN page - 30 ELSE page + 3 END AS link FROM (SELECT DISTINCT p_partkey // 10 AS page FROM part)),
+    w AS (SELECT s AS start, CAST(0 AS BIGINT) AS place, page FROM range(3) t(s) JOIN p ON page = s UNION SELECT w.start, w.place + 1, n.page FROM w JOIN p ON p.page = w.page JOIN p n ON n.page = p.link WHERE w.place < (SELECT count(*) FROM p)),
+    r AS (SELECT start, page, min(place) AS place FROM w GROUP BY ALL)
+    """
 SQL = {
+    "scan_filter_dedupe": CHAINS + """SELECT 'own/app-' || (p_partkey % 700) AS id, arg_min(p_size, (place * 10 + start, p_partkey)) AS likes, min(place * 10 + start) AS page
+        FROM r JOIN part ON p_partkey // 10 = page WHERE p_partkey % 5 <> 0 GROUP BY 1""",
+    "scan_aside": CHAINS + """, a AS (SELECT r.page, 'cycle' AS reason FROM r JOIN p USING (page) JOIN r m ON m.start = r.start AND m.page = p.link WHERE m.place <= r.place
+        UNION SELECT page, 'unreached' FROM p ANTI JOIN r USING (page) UNION SELECT p.link, 'missing' FROM r JOIN p USING (page) WHERE p.link NOT IN (SELECT page FROM p))
+        SELECT 'https://p.example/list?page=' || page AS address, reason FROM a""",
     "board_items": f"SELECT {BOARD} AS board, count(*) AS n FROM orders GROUP BY 1",
     "job_normalize": f"""SELECT {BOARD} AS board, o_orderkey AS id, o_orderpriority || ' engineer' AS title, CASE WHEN o_orderkey % 5 = 3 THEN 'Unknown' ELSE 'c' || o_custkey END AS company,
         CASE o_orderkey % 5 WHEN 2 THEN 'Berlin' WHEN 3 THEN 'Remote, EU' ELSE 'Remote' END AS location, o_orderkey % 5 NOT IN (0, 2) AS is_remote, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS at, 'Engineering' AS role_family FROM orders WHERE o_orderkey % 7 <> 0""",
@@ -347,7 +385,8 @@ SQL = {
     "refresh_coverage": "SELECT count(*) AS records, count(p_size) AS refreshed, count(*) - count(p_size) AS unavailable FROM lineitem LEFT JOIN part ON l_partkey = p_partkey AND p_partkey % 4 > 0",
     "key_hash_rate": "SELECT count(*) AS records, CAST(ceil(count(*) / 200) AS BIGINT) AS batches, max(sha256('benchmark:record-' || l_orderkey || '-' || l_linenumber)) AS greatest FROM lineitem",
     "canonical_names": f"SELECT {KEY} AS key, {SPELT} AS canonical FROM customer UNION ALL SELECT replace({KEY}, 'works', 'wrks'), replace({SPELT}, 'works', 'wrks') FROM customer WHERE c_custkey % 3 = 1",
-    "entity_exact": f"SELECT {SPELT} || ', Inc.' AS raw_name, {SPELT} AS canonical_name, 'exact' AS method, 'MATCHED' AS status FROM customer WHERE c_custkey % 3 = 0 AND c_custkey % 10 < 8",
+    "entity_exact": f"""WITH n AS (SELECT c_custkey, {SPELT} AS name FROM customer), r AS (SELECT CASE c_custkey % 3 WHEN 0 THEN name || ', Inc.' WHEN 1 THEN replace(name, 'works', 'wrks') ELSE 'Zz' || reverse(name) END AS raw_name FROM n)
+        SELECT raw_name, name AS canonical_name, 'exact' AS method, 'MATCHED' AS status FROM r JOIN n ON lower(regexp_replace(raw_name, ', Inc\.$', '')) = lower(name) WHERE c_custkey % 10 < 8""",
     "llm_gate": "SELECT doc_id, doc_id % 3 < 2 AND doc_id % 2 = 0 AND trim(regexp_replace(substr(text, 3, 20), '^\\s+|\\s+$', '', 'g')) <> '' AS applied FROM documents",
     "raw_store": "WITH h AS (SELECT sha256(text) AS h FROM documents EXCEPT SELECT sha256(text) FROM documents WHERE doc_id % 2 = 0) SELECT substr(h, 1, 2) AS prefix, count(*) AS n FROM h GROUP BY 1",
     "late_split": f"SELECT CASE WHEN ts < {NOW} - INTERVAL 24 HOUR THEN 'late' WHEN ts > {NOW} + INTERVAL 5 MINUTE THEN 'ahead' ELSE 'on_time' END AS lateness, count(*) AS n FROM events GROUP BY 1",
@@ -356,7 +395,7 @@ SQL = {
     "stream_dedupe": "SELECT DISTINCT user_id, event_type FROM events",
 }
 QUERIES = [
-    board_items, job_normalize, source_yields, per_source_topn, feed_items, parse_atom, json_ld_article, news_join_article, extract_embedded_json, map_product, scan_papers, upsert_latest,
+    board_items, job_normalize, source_yields, per_source_topn, feed_items, parse_atom, json_ld_article, news_join_article, extract_embedded_json, map_product, scan_filter_dedupe, scan_aside, scan_papers, upsert_latest,
     checkpoint_latest, enqueue_dedupe, queue_eligible, queue_claim, queue_counts, queue_transition, dead_letters, expire_signals, keyset_scan, batch_numbers, graphql_batches, enrich_lookup,
     refresh_coverage, key_hash_rate, canonical_names, entity_exact, entity_resolve, apply_canonical, llm_gate, raw_store, late_split, events_per_day, stream_upsert, stream_dedupe,
 ]

@@ -1,4 +1,4 @@
-"""Streaming forms: deduplication, keyed upsert, and the late split."""
+"""Streaming forms: deduplication, the late split, and runs over what is there."""
 
 from __future__ import annotations
 
@@ -7,8 +7,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quern.operators.dedupe import latest_wins
-
 
 def deduplicated(stream: DataFrame, keys: list[str], event_time: str, keep: str = "1 day") -> DataFrame:
     """First of each key within the time that state is kept: bounded, as late keys are forgotten."""
@@ -22,23 +20,6 @@ def late_split(rows: DataFrame, event_time: str, fetched_at) -> DataFrame:
     return rows.withColumn("lateness", late)
 
 
-def upsert_batches(keys: list[str], *order: str, path: str) -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` function that keeps the latest row of each key under ``path``.
-
-    Each batch writes a new version from the one before it; a batch that runs again writes its own
-    version anew, so its effect is the same however often it is tried.
-    """
-
-    def run(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        rows = batch
-        if number:
-            rows = spark.read.schema(batch.schema).parquet(f"{path}/v{number - 1}").unionByName(batch)
-        latest_wins(rows, keys, *order).write.mode("overwrite").parquet(f"{path}/v{number}")
-
-    return run
-
-
 def run_available(stream: DataFrame, batch: Callable[[DataFrame, int], None], checkpoint: str) -> int:
     """Runs a stream over all that is there; the number of the last batch, -1 if there was none."""
     query = stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
