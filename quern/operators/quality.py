@@ -66,18 +66,31 @@ def type_mismatch(document: Column, record_type: Column) -> Column:
 
 
 def report(records: DataFrame, now: Column) -> DataFrame:
-    """One row per record type: totals, distinct keys and addresses, pass rate, and every error's count."""
+    """One row per record type: totals, distinct keys and addresses, pass rate, and every error's count.
+
+    Records that carry their stored ``document`` are held to the contract part by part, up to three breaks each,
+    and to their type's name. Distinct keys and addresses are counted apart, from narrow scans of their own.
+    """
     web = is_web_url(F.col("source_url"))
-    flags = error_flags(now)
-    flagged = records.select("record_type", F.nullif("record_key", F.lit("")).alias("key"), F.when(web, F.col("source_url")).alias("url"), *[v.alias(k) for k, v in flags.items()])
+    counted = {k: v.cast("long") for k, v in error_flags(now).items()}
+    if "document" in records.columns:
+        counted["schema_contract_mismatch"] = contract_breaks(F.col("document")).cast("long")
+        counted["record_type_mismatch"] = type_mismatch(F.col("document"), F.col("record_type")).cast("long")
+    else:
+        counted["record_type_mismatch"] = F.lit(0).cast("long")
+    flagged = records.select("record_type", web.alias("web"), *[v.alias(k) for k, v in counted.items()])
     counts = flagged.groupBy("record_type").agg(
         F.count("*").alias("total"),
-        F.countDistinct("key").alias("unique_keys"),
-        F.countDistinct("url").alias("unique_source_urls"),
-        F.count("url").alias("valid_source_urls"),
-        F.count_if(~F.col("fields_without_evidence")).alias("evidence_complete"),
-        *[F.count_if(k).alias(k) for k in flags],
+        F.count_if("web").alias("valid_source_urls"),
+        F.count_if(F.col("fields_without_evidence") == 0).alias("evidence_complete"),
+        *[F.sum(k).alias(k) for k in counted],
     )
+
+    def distinct(value: Column, name: str) -> DataFrame:
+        return records.select("record_type", value.alias("value")).where("value is not null").distinct().groupBy("record_type").agg(F.count("*").alias(name))
+
+    for value, name in ((F.nullif("record_key", F.lit("")), "unique_keys"), (F.when(web, F.col("source_url")), "unique_source_urls")):
+        counts = counts.join(distinct(value, name), "record_type", "left").withColumn(name, F.coalesce(name, F.lit(0).cast("long")))
     return counts.withColumn("duplicate_keys", F.col("total") - F.col("unique_keys")).withColumn("pass_rate", F.coalesce(F.round(F.try_divide("evidence_complete", "total"), 4), F.lit(0.0)))
 
 

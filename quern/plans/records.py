@@ -10,6 +10,7 @@ from quern.operators.dedupe import latest_wins
 from quern.operators.enrich import document_of, needs_pricing, with_evidence, within_budget
 from quern.plans.record_sql import FILLED, FLD, NOW, REC
 from quern.sinks import export
+from quern.sinks.documents import hydrated_records, public_documents
 from quern.sources.records import now, record_view
 
 REQUIRED = ", ".join(f"('{k}', '{f}')" for k, fields in evidence.REQUIRED_FIELDS.items() for f in fields)
@@ -19,12 +20,13 @@ per AS (SELECT record_type, rid, count(*) FILTER ({FILLED}) AS filled, count(*)
     max(value) FILTER (field IN ('date', 'published_at')) AS date, max(value) FILTER (field = 'github_stars_collected_at') AS measured,
     max(value) FILTER (field = 'github_stars_source') AS star_source, max(value) FILTER (field = 'pricingModel') AS pricing,
     max(value) FILTER (field = 'productName') AS product, max(value) FILTER (field = 'startupName') AS startup,
-    string_agg(field, ',' ORDER BY field) FILTER ({FILLED}) AS names,
+    string_agg(field, ',' ORDER BY field) FILTER ({FILLED}) AS names, bool_or(proven) AS has_proof,
     string_agg(field, ',' ORDER BY field) FILTER ({FILLED} AND NOT proven) AS bad
   FROM fld GROUP BY ALL),
 miss AS (SELECT record_type, rid, count(*) AS missing, string_agg(field, ',' ORDER BY field) AS absent FROM fld SEMI JOIN req USING (record_type, field)
   WHERE NOT ({FILLED}) OR value IS NULL GROUP BY ALL),
 flags AS (SELECT rec.*, per.* EXCLUDE (record_type, rid), coalesce(miss.missing, 0) AS missing, source_url LIKE 'http%' AS web,
+    CAST(rid % 11 = 0 AS INT) + CAST(rid % 13 = 0 OR rid % 29 = 0 AS INT) + CAST(rid % 17 = 0 AND has_proof AS INT) AS rec_b,
     rec.record_type IN ('JOB', 'NEWS') AS signal, try_cast(date AS TIMESTAMP) AS dated, try_cast(measured AS TIMESTAMP) AS starred
   FROM rec JOIN per USING (record_type, rid) LEFT JOIN miss USING (record_type, rid))
 """
@@ -33,7 +35,8 @@ COUNTS = {
     "invalid_source_url": "NOT web",
     "missing_required_fields": "missing > 0",
     "fields_without_evidence": "unproven > 0",
-    "schema_contract_mismatch": "false",
+    "schema_contract_mismatch": "CAST(rec_b AS BOOLEAN)",
+    "record_type_mismatch": "rid % 19 = 0",
     "outside_24h_window": "signal AND " + OUTSIDE.format("dated"),
     "invalid_freshness_date": "signal AND dated IS NULL",
     "product_company_name_collision": "record_type = 'PRODUCT' AND lower(trim(product)) = lower(trim(startup))",
@@ -45,13 +48,23 @@ COUNTS = {
 REPORT = f"""
 {CHECKS}, rep AS (SELECT record_type, count(*) AS total, count(DISTINCT record_key) AS unique_keys, count(DISTINCT CASE WHEN web THEN source_url END) AS unique_source_urls,
   count(*) FILTER (web) AS valid_source_urls, count(*) FILTER (unproven = 0) AS evidence_complete,
-  {", ".join(f"count(*) FILTER ({v}) AS {k}" for k, v in COUNTS.items())}
+  {", ".join("CAST(sum(rec_b) AS BIGINT) AS " + k if k == "schema_contract_mismatch" else f"count(*) FILTER ({v}) AS {k}" for k, v in COUNTS.items())}
 FROM flags GROUP BY record_type)
 """
 
 
+def _stored(view: DataFrame) -> DataFrame:
+    """With ``document``: the stored record, some without a part that the contract asks for, or under another type's name."""
+    rid, at = F.col("rid"), F.lit("2024-01-30T12:00:00Z")
+    source = F.struct(F.col("source_name").alias("name"), F.col("source_url").alias("url"), at.alias("retrievedAt"), F.when(rid % 13 != 0, F.sha2("source_url", 256)).alias("contentHash"))
+    proofs = F.transform("evidence", lambda e: F.struct(e["field"].alias("field"), e["method"].alias("method"), e["source_url"].alias("sourceUrl"), F.when(rid % 17 != 0, e["source_pointer"]).alias("sourcePointer"), e["confidence"].alias("confidence")))
+    kind = F.when(rid % 19 != 0, F.col("record_type")).otherwise("OTHER")
+    parts = [F.lit("1.1").alias("schemaVersion"), F.col("record_key").alias("recordKey"), kind.alias("recordType"), F.when(rid % 11 != 0, at).alias("collectedAt"), F.when(rid % 29 != 0, source).alias("source"), proofs.alias("evidence")]
+    return view.withColumn("document", F.to_json(F.struct(*parts)))
+
+
 def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.report(record_view(spark, sf_dir), now())
+    return quality.report(_stored(record_view(spark, sf_dir)), now())
 
 
 def quality_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -88,13 +101,7 @@ def schema_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def payload_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stored records, some without a part that the contract asks for, or under another type's name."""
-    rid, at = F.col("rid"), F.lit("2024-01-30T12:00:00Z")
-    source = F.struct(F.col("source_name").alias("name"), F.col("source_url").alias("url"), at.alias("retrievedAt"), F.when(rid % 13 != 0, F.sha2("source_url", 256)).alias("contentHash"))
-    proofs = F.transform("evidence", lambda e: F.struct(e["field"].alias("field"), e["method"].alias("method"), e["source_url"].alias("sourceUrl"), F.when(rid % 17 != 0, e["source_pointer"]).alias("sourcePointer"), e["confidence"].alias("confidence")))
-    kind = F.when(rid % 19 != 0, F.col("record_type")).otherwise("OTHER")
-    parts = [F.lit("1.1").alias("schemaVersion"), F.col("record_key").alias("recordKey"), kind.alias("recordType"), F.when(rid % 11 != 0, at).alias("collectedAt"), F.when(rid % 29 != 0, source).alias("source"), proofs.alias("evidence")]
-    rows = record_view(spark, sf_dir).select("record_type", F.to_json(F.struct(*parts)).alias("document"))
+    rows = _stored(record_view(spark, sf_dir))
     checked = rows.select("record_type", quality.contract_breaks(F.col("document")).alias("breaks"), quality.type_mismatch(F.col("document"), F.col("record_type")).alias("other"))
     return checked.groupBy("record_type").agg(F.sum("breaks").alias("schema_contract_mismatch"), F.max("breaks").alias("most"), F.count_if("other").alias("record_type_mismatch"))
 
@@ -142,6 +149,42 @@ def hydrate_legacy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return export.hydrated(view.select(F.when(F.col("rid") % 2 == 0, camel).otherwise(snake).alias("document")))
 
 
+def _legacy(view: DataFrame) -> DataFrame:
+    """rid, document: whole records as JSON, every other one in the older snake case, some broken."""
+    rid, at, half = F.col("rid"), F.lit("2024-01-30T12:00:00+00:00"), F.col("rid") % 2 == 0
+    sure = F.when(rid % 13 != 0, 0.5)
+    camel = F.to_json(F.struct(
+        F.lit("1.1").alias("schemaVersion"), F.col("record_key").alias("recordKey"), F.when(rid % 37 != 0, F.col("record_type")).otherwise("OTHER").alias("recordType"), at.alias("collectedAt"), F.col("content"),
+        F.struct(F.col("source_name").alias("name"), F.col("source_url").alias("url"), at.alias("retrievedAt"), F.lit("h").alias("contentHash")).alias("source"),
+        F.transform("evidence", lambda e: F.struct(e["field"].alias("field"), e["method"].alias("method"), e["source_url"].alias("sourceUrl"), e["source_pointer"].alias("sourcePointer"), sure.alias("confidence"))).alias("evidence"),
+    ))
+    snake = F.to_json(F.struct(
+        "record_key", F.when(rid % 37 != 0, F.col("record_type")).otherwise("OTHER").alias("record_type"), at.alias("collected_at"), F.col("content"),
+        F.struct(F.col("source_name").alias("name"), F.col("source_url").alias("url"), at.alias("retrieved_at"), F.lit("h").alias("content_hash")).alias("source"),
+        F.transform("evidence", lambda e: F.struct(e["field"].alias("field"), e["method"].alias("method"), e["source_url"].alias("source_url"), e["source_pointer"].alias("source_pointer"), sure.alias("confidence"))).alias("evidence"),
+    ))
+    return view.select("rid", "record_key", F.when(rid % 31 == 0, F.to_json(F.array("record_key"))).when(half, camel).otherwise(snake).alias("document"))
+
+
+def hydrate_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole records read back, and whether their public document, read again, is the same."""
+    found, _ = hydrated_records(_legacy(record_view(spark, sf_dir)))
+    own = F.concat_ws("|", "record_type", "record_key", "source.url")  # keys repeat
+    docs = public_documents(found.withColumn("record_key", own))
+    twice = public_documents(hydrated_records(docs)[0]).select("record_key", F.col("document").alias("again"))
+    facts = found.select(
+        own.alias("own"), "record_key", "record_type", "schema_version", F.col("source.url").alias("url"), F.size(F.json_object_keys(F.to_json("content"))).alias("fields"), F.size("evidence").alias("proofs"),
+        F.aggregate("evidence", F.lit(0.0), lambda a, e: a + e["confidence"]).alias("confidence"), F.date_format("collected_at", "yyyy-MM-dd HH:mm").alias("collected"),
+    )
+    same = docs.join(twice, "record_key").select(F.col("record_key").alias("own"), (F.col("document") == F.col("again")).alias("same"))
+    return facts.join(same, "own").drop("own")
+
+
+def hydrate_aside(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, aside = hydrated_records(_legacy(record_view(spark, sf_dir)))
+    return aside.groupBy("reason").agg(F.count("*").alias("n"))
+
+
 def flatten_tabs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return export.flat(record_view(spark, sf_dir).where("record_type = 'JOB'"), ["company", "title", "date", "is_remote"]).withColumnRenamed("date", "dated")
 
@@ -178,7 +221,7 @@ SQL = {
     "submission_gate": f"""WITH {REPORT}, r AS (SELECT *, record_type IN ('STARTUP', 'PRODUCT', 'RESEARCH_PAPER') AS catalog FROM rep),
         b AS (SELECT record_type, unnest([CASE WHEN catalog AND total < 1000 OR NOT catalog AND total < 1 THEN 'too_few' END, CASE WHEN valid_source_urls <> total THEN 'invalid_urls' END,
         CASE WHEN evidence_complete <> total THEN 'without_evidence' END, CASE WHEN missing_required_fields > 0 THEN 'incomplete' END, CASE WHEN unique_keys <> total THEN 'duplicate_keys' END,
-        CASE WHEN outside_24h_window > 0 THEN 'stale_signals' END, CASE WHEN invalid_freshness_date > 0 THEN 'invalid_dates' END, CASE WHEN catalog AND unique_source_urls <> total THEN 'urls_not_unique' END,
+        CASE WHEN outside_24h_window > 0 THEN 'stale_signals' END, CASE WHEN invalid_freshness_date > 0 THEN 'invalid_dates' END, CASE WHEN schema_contract_mismatch > 0 THEN 'contract' END, CASE WHEN catalog AND unique_source_urls <> total THEN 'urls_not_unique' END,
         CASE WHEN record_type = 'PRODUCT' AND product_company_name_collision > 0.05 * total THEN 'relabelled_companies' END, CASE WHEN invalid_pricing_model > 0 THEN 'pricing' END,
         CASE WHEN github_stars_not_direct > 0 THEN 'stars_not_direct' END, CASE WHEN github_stars_stale > 0 OR github_stars_timestamp_invalid > 0 THEN 'stars_not_current' END]) AS rule FROM r)
         SELECT * FROM b WHERE rule IS NOT NULL""",
@@ -197,6 +240,10 @@ SQL = {
         SELECT coalesce(record_type, 'all') AS record_type, coalesce(kind, 'all') AS kind, count(*) AS n, count(*) FILTER (ok) AS proven FROM f GROUP BY ROLLUP (record_type, kind)""",
     "public_contract": f"{VR} SELECT record_key, record_type, source_url AS url, '1.1' AS version FROM rec",
     "hydrate_legacy": f"{VR} SELECT record_key, record_type, CASE WHEN rid % 2 = 0 THEN '1.1' ELSE '1.0' END AS schema_version, source_url FROM rec",
+    "hydrate_records": f"""{VR}, n AS (SELECT record_type, rid, count(*) AS fields, count(*) FILTER (proven) AS proofs FROM fld GROUP BY ALL)
+        SELECT record_key, record_type, CASE WHEN rid % 2 = 0 THEN '1.1' ELSE '1.0' END AS schema_version, source_url AS url, CAST(fields AS INT) AS fields, CAST(proofs AS INT) AS proofs,
+        CAST(proofs AS DOUBLE) * CASE WHEN rid % 13 = 0 THEN 1 ELSE 0.5 END AS confidence, '2024-01-30 12:00' AS collected, true AS same FROM rec JOIN n USING (record_type, rid) WHERE rid % 31 <> 0 AND rid % 37 <> 0""",
+    "hydrate_aside": f"{VR} SELECT CASE WHEN rid % 31 = 0 THEN 'not_object' ELSE 'record_type' END AS reason, count(*) AS n FROM rec WHERE rid % 31 = 0 OR rid % 37 = 0 GROUP BY 1",
     "flatten_tabs": f"""{VR} SELECT record_key, max(value) FILTER (field = 'company') AS company, max(value) FILTER (field = 'title') AS title, coalesce(max(value) FILTER (field = 'date'), '') AS dated,
         max(value) FILTER (field = 'is_remote') AS is_remote FROM rec JOIN fld USING (record_type, rid) WHERE record_type = 'JOB' GROUP BY record_key, rid""",
     "llm_candidates": """WITH p AS (SELECT CAST(p_partkey AS BIGINT) AS rid, p_partkey % 7 AS m, 'Product: ' || CASE WHEN p_partkey % 29 = 0 THEN p_brand ELSE p_name END || chr(10) || chr(10) || 'Description: ' || p_type || CASE WHEN p_partkey % 3 = 0 THEN ' free plan' ELSE '' END AS doc FROM part)
@@ -205,4 +252,4 @@ SQL = {
     "latest_records": f"{VR} SELECT record_key, max(rid) AS rid, any_value(record_type) AS record_type FROM rec GROUP BY 1",
 }
 SQL["llm_budget"] = f"WITH c AS ({SQL['llm_candidates']}), r AS (SELECT rid, row_number() OVER (ORDER BY rid) <= 50 AS called FROM c) SELECT called, count(*) AS n, max(rid) AS last FROM r GROUP BY called"
-QUERIES = [quality_report, quality_errors, submission_gate, evidence_gate, populated_fields, required_fields, schema_contract, payload_contract, domain_checks, evidence_replace, count_by_type, export_manifest, quality_rollup, public_contract, hydrate_legacy, flatten_tabs, llm_candidates, llm_budget, llm_validate, latest_records]
+QUERIES = [quality_report, quality_errors, submission_gate, evidence_gate, populated_fields, required_fields, schema_contract, payload_contract, domain_checks, evidence_replace, count_by_type, export_manifest, quality_rollup, public_contract, hydrate_legacy, hydrate_records, hydrate_aside, flatten_tabs, llm_candidates, llm_budget, llm_validate, latest_records]

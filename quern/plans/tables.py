@@ -386,7 +386,7 @@ SQL = {
     "key_hash_rate": "SELECT count(*) AS records, CAST(ceil(count(*) / 200) AS BIGINT) AS batches, max(sha256('benchmark:record-' || l_orderkey || '-' || l_linenumber)) AS greatest FROM lineitem",
     "canonical_names": f"SELECT {KEY} AS key, {SPELT} AS canonical FROM customer UNION ALL SELECT replace({KEY}, 'works', 'wrks'), replace({SPELT}, 'works', 'wrks') FROM customer WHERE c_custkey % 3 = 1",
     "entity_exact": f"""WITH n AS (SELECT c_custkey, {SPELT} AS name FROM customer), r AS (SELECT CASE c_custkey % 3 WHEN 0 THEN name || ', Inc.' WHEN 1 THEN replace(name, 'works', 'wrks') ELSE 'Zz' || reverse(name) END AS raw_name FROM n)
-        SELECT raw_name, name AS canonical_name, 'exact' AS method, 'MATCHED' AS status FROM r JOIN n ON lower(regexp_replace(raw_name, ', Inc\.$', '')) = lower(name) WHERE c_custkey % 10 < 8""",
+        SELECT raw_name, name AS canonical_name, 'exact' AS method, 'MATCHED' AS status FROM r JOIN n ON lower(regexp_replace(raw_name, ', Inc[.]$', '')) = lower(name) WHERE c_custkey % 10 < 8""",
     "llm_gate": "SELECT doc_id, doc_id % 3 < 2 AND doc_id % 2 = 0 AND trim(regexp_replace(substr(text, 3, 20), '^\\s+|\\s+$', '', 'g')) <> '' AS applied FROM documents",
     "raw_store": "WITH h AS (SELECT sha256(text) AS h FROM documents EXCEPT SELECT sha256(text) FROM documents WHERE doc_id % 2 = 0) SELECT substr(h, 1, 2) AS prefix, count(*) AS n FROM h GROUP BY 1",
     "late_split": f"SELECT CASE WHEN ts < {NOW} - INTERVAL 24 HOUR THEN 'late' WHEN ts > {NOW} + INTERVAL 5 MINUTE THEN 'ahead' ELSE 'on_time' END AS lateness, count(*) AS n FROM events GROUP BY 1",
