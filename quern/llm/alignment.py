@@ -24,13 +24,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quern.llm.bpe import byte_symbols
-from quern.llm.common import fresh_path, map_batches, need, written
+from quern.llm.common import fresh_path, need, written
 from quern.llm.lm_scoring import _mapped, _store, _summed
 
 #: The split into words that byte-level vocabularies of this kind are made with.
 _SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Tokens that are aligned at once (one text's at least).
-_BLOCK = 600_000
+#: Bytes of packed ids that are aligned, or leave a task, at once (one text's at least).
+_BYTES = 1_500_000
 #: Documents' pairs that a counting task gathers before it sums them, and sums that it holds at most before it hands them on.
 _FLUSH = 1_000_000
 #: Above this many cached parts of texts a worker starts its cache afresh.
@@ -41,6 +41,11 @@ RANGE_PAIRS = 250_000
 _LANE = 64
 
 
+def _kind(size: int) -> str:
+    """How ids are stored: in 16 bits if that will do, else in 32."""
+    return "<u2" if size <= 1 << 16 else "<u4"
+
+
 class ByteLevel:
     """Tokenizer A: a byte-level BPE vocabulary. Special strings inside texts are plain text."""
 
@@ -57,14 +62,15 @@ class ByteLevel:
         if any(bytes([b]) not in ranks for b in range(256)):
             raise ValueError(f"{path}: not every byte is a token")
         self.size = 1 + max(max(ranks.values()), *(t["id"] for t in spec["added_tokens"]), 0)
+        self.kind = _kind(self.size)
         self.raw = [b""] * self.size
         for raw, i in ranks.items():
             self.raw[i] = raw
         self._encode = tiktoken.Encoding("bytes", pat_str=_SPLIT, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
 
     def encode(self, text: str) -> bytes:
-        """The ids as little-endian 32-bit numbers. With a token for each byte they always give the text back."""
-        return np.array(self._encode(" " + text), "<u4").tobytes()
+        """The ids as numbers of ``kind``. With a token for each byte they always give the text back."""
+        return np.array(self._encode(" " + text), self.kind).tobytes()
 
 
 class Pieces:
@@ -79,19 +85,20 @@ class Pieces:
     def __init__(self, path: str) -> None:
         self.model = m = sentencepiece.SentencePieceProcessor(model_file=path)
         self.size = m.get_piece_size()
+        self.kind = _kind(self.size)
         names = [m.id_to_piece(i) for i in range(self.size)]
         self.raw = [bytes([int(p[3:5], 16)]) if m.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(names)]
         space = m.piece_to_id("▁")
         self.apart = space != m.unk_id() and not any("▁" in p.lstrip("▁") for p in names)
-        self.first = {" ": np.array([space], "<u4").tobytes()}  # the library gives an empty text no token
+        self.first = {" ": np.array([space], self.kind).tobytes()}  # the library gives an empty text no token
         self.cache: dict[str, bytes | None] = dict(self.first)
 
     def _packed(self, part: str, ids: list[int]) -> bytes | None:
         """None if the pieces don't give the part back."""
-        return np.array(ids, "<u4").tobytes() if b"".join(map(self.raw.__getitem__, ids)) == part.encode("utf-8", "surrogatepass") else None
+        return np.array(ids, self.kind).tobytes() if b"".join(map(self.raw.__getitem__, ids)) == part.encode("utf-8", "surrogatepass") else None
 
     def encode(self, text: str) -> bytes | None:
-        """The ids as little-endian 32-bit numbers; None if their bytes are not those of a space and the text."""
+        """The ids as numbers of ``kind``; None if their bytes are not those of a space and the text."""
         if not self.apart:
             return self._packed(" " + text, self.model.encode(text))
         parts = self._parts.findall(" " + text)
@@ -116,20 +123,25 @@ def _tokenizers(path_a: str, path_b: str) -> tuple[ByteLevel, Pieces]:
 
 
 def encoded(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
-    """doc_id, a, b: the tokens of every row (little-endian 32-bit ids), empty where the text is null or
-    empty or either side's bytes are not those of a space and the text."""
+    """doc_id, a, b: the tokens of every row (packed ids), empty where the text is null or empty or either
+    side's bytes are not those of a space and the text."""
 
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = _tokenizers(path_a, path_b)
-        out: tuple[list[bytes], list[bytes]] = ([], [])
-        for text in batch.column(1):
-            t = text.as_py()
-            pieces = b.encode(t) if t else None
-            out[0].append(a.encode(t) if pieces else b"")
-            out[1].append(pieces or b"")
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(out[0], pa.binary()), pa.array(out[1], pa.binary())], ["doc_id", "a", "b"])
+        for batch in batches:
+            ids, texts, at = batch.column(0), batch.column(1), 0
+            left, right, size = [], [], 0
+            for k in range(batch.num_rows):
+                t = texts[k].as_py()
+                pieces = b.encode(t) if t else None
+                left.append(a.encode(t) if pieces else b"")
+                right.append(pieces or b"")
+                size += len(left[-1]) + len(right[-1])
+                if size >= _BYTES or k == batch.num_rows - 1:  # rows leave in small batches
+                    yield pa.RecordBatch.from_arrays([ids.slice(at, k + 1 - at), pa.array(left, pa.binary()), pa.array(right, pa.binary())], ["doc_id", "a", "b"])
+                    left, right, size, at = [], [], 0, k + 1
 
-    return map_batches(need(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long")), run, "doc_id long, a binary, b binary")
+    return need(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long")).mapInArrow(run, "doc_id long, a binary, b binary")
 
 
 def gallop(short: np.ndarray, long: np.ndarray) -> np.ndarray:
@@ -204,21 +216,22 @@ class Aligned:
         return ["".join(words[x:y])[:-1] for x, y in zip([0, *ends[:-1]], ends, strict=True)]
 
 
-def _blocks(batch: pa.RecordBatch) -> Iterator[tuple[int, int, list[np.ndarray], list[np.ndarray]]]:
-    """First and last row and the ids of stretches of rows, of about _BLOCK tokens or one row."""
-    a, b = (batch.column(i).to_pylist() for i in (1, 2))
-    at = 0
-    while at < len(a):
-        end, size = at, 0
-        while end < len(a) and size < 4 * _BLOCK:
-            size += len(a[end]) + len(b[end])
-            end += 1
-        yield at, end, *([np.frombuffer(x, "<u4") for x in side[at:end]] for side in (a, b))
-        at = end
+def _blocks(batch: pa.RecordBatch, kinds: tuple[str, str]) -> Iterator[tuple[pa.Array, list[np.ndarray], list[np.ndarray]]]:
+    """doc_id and the ids of both sides, in stretches of rows of about _BYTES or one row."""
+    at, size, sides = 0, 0, ([], [])
+    for k in range(batch.num_rows):
+        for i, side in enumerate(sides):
+            side.append(np.frombuffer(batch.column(i + 1)[k].as_buffer() or b"", kinds[i]))
+            size += side[-1].nbytes
+        if size >= _BYTES or k == batch.num_rows - 1:
+            yield batch.column(0).slice(at, k + 1 - at), *sides
+            at, size, sides = k + 1, 0, ([], [])
 
 
-def _sizes(path_a: str, path_b: str) -> tuple[np.ndarray, np.ndarray]:
-    return tuple(np.array([len(r) for r in t.raw], np.int64) for t in _tokenizers(path_a, path_b))
+def _sizes(path_a: str, path_b: str) -> tuple[tuple[str, str], np.ndarray, np.ndarray]:
+    """How ids are stored, and the bytes of each."""
+    a, b = _tokenizers(path_a, path_b)
+    return (a.kind, b.kind), *(np.array([len(r) for r in t.raw], np.int64) for t in (a, b))
 
 
 def pair_counts(tokens: DataFrame, path_a: str, path_b: str) -> DataFrame:
@@ -228,10 +241,10 @@ def pair_counts(tokens: DataFrame, path_a: str, path_b: str) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(keys >> 32, pa.int32()), pa.array(keys & 0xFFFFFFFF, pa.int32()), pa.array(n, pa.int64())], ["a", "b", "n"])
 
     def run(batches):
-        len_a, len_b = _sizes(path_a, path_b)
+        kinds, len_a, len_b = _sizes(path_a, path_b)
         parts, fresh = [], 0
         for batch in batches:
-            for _, _, a, b in _blocks(batch):
+            for _, a, b in _blocks(batch, kinds):
                 x = Aligned(a, b, len_a, len_b)
                 keys = x.a[x.link_a] << 32 | x.b[x.link_b]
                 order = np.lexsort((keys, x.doc))
@@ -317,21 +330,21 @@ def aligned(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
     files = stored_counts(written(pair_counts(tokens, path_a, path_b), "pair-counts"))
     key = uuid.uuid4().hex
 
-    def run(batch: pa.RecordBatch) -> pa.Table:
-        t, known, (len_a, len_b) = _tokenizers(path_a, path_b), _counts_of(key, files), _sizes(path_a, path_b)
-        table, out = _numerals(max(x.size for x in t)), []
-        for at, end, a, b in _blocks(batch):
-            x, docs_n = Aligned(a, b, len_a, len_b), end - at
-            pairs, where = np.unique(x.a[x.link_a] << 32 | x.b[x.link_b], return_inverse=True)
-            value = known.values(pairs)[where]
-            sums = np.zeros(docs_n, np.int64)
-            np.add.at(sums, x.doc, value >> 1)
-            links, best, groups = (np.bincount(d, minlength=docs_n) for d in (x.doc, x.doc[value & 1 == 1], x.group_doc))
-            columns = [batch.column(0).slice(at, docs_n), *(pa.array(c, pa.int64()) for c in (x.n_a, x.n_b, groups, links, best, sums)), pa.array(x.group_texts(table), pa.string())]
-            out.append(pa.RecordBatch.from_arrays(columns, ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups"]))
-        return pa.Table.from_batches(out)
-
-    return map_batches(tokens, run, _RESULT)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        (kinds, len_a, len_b), known = _sizes(path_a, path_b), _counts_of(key, files)
+        table = _numerals(max(len(len_a), len(len_b)))
+        for batch in batches:
+            for ids, a, b in _blocks(batch, kinds):
+                x, rows = Aligned(a, b, len_a, len_b), len(ids)
+                pairs, where = np.unique(x.a[x.link_a] << 32 | x.b[x.link_b], return_inverse=True)
+                value = known.values(pairs)[where]
+                sums = np.zeros(rows, np.int64)
+                np.add.at(sums, x.doc, value >> 1)
+                links, best, groups = (np.bincount(d, minlength=rows) for d in (x.doc, x.doc[value & 1 == 1], x.group_doc))
+                columns = [ids, *(pa.array(c, pa.int64()) for c in (x.n_a, x.n_b, groups, links, best, sums)), pa.array(x.group_texts(table), pa.string())]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups"])
+
+    return tokens.mapInArrow(run, _RESULT)
 
 
 _tables: dict[int, list[str]] = {}

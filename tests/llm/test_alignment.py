@@ -90,4 +90,4 @@ def test_cached_pieces_are_the_librarys():
     for t in [*MORE, *(t for t in TEXTS if t)]:
         packed = own.encode(t)
         assert (packed is None) == ("▁" in t)
-        assert packed is None or np.frombuffer(packed, "<u4").tolist() == lib.encode(t)
+        assert packed is None or np.frombuffer(packed, own.kind).tolist() == lib.encode(t)
