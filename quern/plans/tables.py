@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from quern.functions.markup import html_text
+from quern.functions.sql import register
 from quern.operators import queue, resolve
 from quern.operators.dedupe import batch_ids, keyset_page, latest_wins, not_yet, per_source_top, upsert
 from quern.operators.enrich import accepted_answer
@@ -90,11 +92,50 @@ def parse_atom(spark: SparkSession, sf_dir: str) -> DataFrame:
     return papers.select(F.col("paper_id").cast("bigint").alias("id"), "title", "abstract", F.array_join("authors", ",").alias("authors"))
 
 
+def _with_script(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages, before whose own HTML stands a linked-data script: an article in a graph, one with authors, or a broken one."""
+    n = F.col("page_id")
+    number = n.cast("string")
+    authors = F.array(F.struct(F.concat(F.lit("A"), number).alias("name")), F.struct(F.lit("B, C").alias("name")))
+    node = F.to_json(F.struct(F.lit("NewsArticle").alias("@type"), F.when(n % 4 == 0, F.concat(F.lit("body "), number)).alias("articleBody"), authors.alias("author")))
+    script = F.when(n % 2 == 0, F.concat(F.lit('{"@graph":[{"@type":"Person"},'), node, F.lit("]}"))).otherwise("{broken")
+    html = F.concat(F.lit('<script type="application/ld+json">'), script, F.lit("</script>"), "html")
+    return table(spark, sf_dir, "pages").select("page_id", "url", html.alias("html"))
+
+
 def json_ld_article(spark: SparkSession, sf_dir: str) -> DataFrame:
-    node = F.to_json(F.struct(F.lit("NewsArticle").alias("@type"), F.concat(F.lit("body "), F.col("page_id").cast("string")).alias("articleBody")))
-    script = F.concat(F.lit('<script type="application/ld+json">'), F.when(F.col("page_id") % 2 == 0, F.concat(F.lit('{"@graph":[{"@type":"Person"},'), node, F.lit("]}"))).otherwise("{broken"), F.lit("</script>"))
-    pages = table(spark, sf_dir, "pages").select("page_id", F.concat(F.lit("https://a.example/"), F.col("page_id").cast("string")).alias("url"), F.concat(script, F.lit("<article><p>seen</p></article>")).alias("html"))
-    return feeds.article_text(pages).select("canonical", "full_text")
+    """The article's own body, or the page's visible text, which a script in front doesn't change."""
+    pages = _with_script(spark, sf_dir).withColumn("url", F.concat(F.lit("https://a.example/"), F.col("page_id").cast("string")))
+    plain = table(spark, sf_dir, "pages").select(F.concat(F.lit("https://a.example/"), F.col("page_id").cast("string")).alias("canonical"), html_text("html").alias("seen"))
+    rows = feeds.article_text(pages).join(plain, "canonical")
+    return rows.select("canonical", F.when(F.col("full_text") == F.col("seen"), "seen").otherwise(F.col("full_text")).alias("full_text"))
+
+
+def sql_json_ld(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Linked data of the pages by SQL text alone."""
+    register(spark)
+    return spark.sql("SELECT p.page_id, n.pos, n.type, get_json_object(n.node, '$.articleBody') AS body FROM {pages} p, LATERAL extract_json_ld(p.html) n", pages=_with_script(spark, sf_dir))
+
+
+def _fetched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items of the pages in five feeds; every seventh fetch failed, every eleventh page wasn't fetched."""
+    pages, n = _with_script(spark, sf_dir), F.col("page_id")
+    own = F.concat(F.lit("https://n.example/"), n.cast("string"))
+    items = pages.select(F.concat(F.lit("f"), (n % 5).cast("string")).alias("source"), F.concat(own, F.lit("?utm_source=feed")).alias("url"), F.when(n % 3 == 0, F.lit("Z, Y")).alias("author"))
+    return feeds.fetched_articles(items, pages.where(n % 11 != 0).select(own.alias("url"), "html", F.when(n % 7 == 0, "HTTP 500").alias("error")))
+
+
+def news_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    good, _ = feeds.split_errors(_fetched(spark, sf_dir))
+    return good.select("source", "canonical", F.array_join("authors", "|").alias("authors"), "method")
+
+
+def news_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return feeds.split_errors(_fetched(spark, sf_dir))[1]
+
+
+def news_yields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return feeds.yields(_fetched(spark, sf_dir))
 
 
 def news_join_article(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -359,7 +400,12 @@ SQL = {
     "per_source_topn": "SELECT event_type, event_id FROM (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY event_id) AS r FROM events) WHERE r <= 20",
     "feed_items": "SELECT CAST(page_id % 6 AS VARCHAR) AS source, 'https://news.example/n/' || page_id AS url, 'story ' || event_type AS title, strftime(date_trunc('second', ts), '%Y-%m-%d %H:%M:%S') AS at FROM pages JOIN events ON page_id = event_id",
     "parse_atom": "SELECT page_id AS id, 'story ' || event_type AS title, 'a b' AS abstract, 'A,B' AS authors FROM pages JOIN events ON page_id = event_id",
-    "json_ld_article": "SELECT 'https://a.example/' || page_id AS canonical, CASE WHEN page_id % 2 = 0 THEN 'body ' || page_id ELSE 'seen' END AS full_text FROM pages",
+    "json_ld_article": "SELECT 'https://a.example/' || page_id AS canonical, CASE WHEN page_id % 4 = 0 THEN 'body ' || page_id ELSE 'seen' END AS full_text FROM pages",
+    "sql_json_ld": """SELECT page_id, CAST(k AS INT) AS pos, CASE k WHEN 0 THEN 'Person' ELSE 'NewsArticle' END AS type, CASE WHEN k = 1 AND page_id % 4 = 0 THEN 'body ' || page_id END AS body FROM pages, range(2) r(k) WHERE page_id % 2 = 0""",
+    "news_articles": """SELECT 'f' || (page_id % 5) AS source, 'https://n.example/' || page_id AS canonical, CASE WHEN page_id % 3 = 0 THEN 'Z|Y' WHEN page_id % 2 = 0 THEN 'A' || page_id || '|B|C' ELSE '' END AS authors,
+        CASE WHEN page_id % 4 = 0 THEN 'json_ld' ELSE 'page_text' END AS method FROM pages WHERE page_id % 11 <> 0 AND page_id % 7 <> 0""",
+    "news_errors": "SELECT 'f' || (page_id % 5) AS source, 'https://n.example/' || page_id AS url, CASE WHEN page_id % 11 = 0 THEN 'not fetched' ELSE 'HTTP 500' END AS reason FROM pages WHERE page_id % 11 = 0 OR page_id % 7 = 0",
+    "news_yields": "SELECT 'f' || (page_id % 5) AS source, count(*) AS found, count(*) FILTER (page_id % 11 <> 0 AND page_id % 7 <> 0) AS accepted FROM pages GROUP BY 1",
     "extract_embedded_json": """WITH r AS (SELECT *, 's' || (s_suppkey % 1000) AS slug, row_number() OVER (PARTITION BY s_suppkey % 1000 ORDER BY s_nationkey, s_name) AS k FROM supplier)
         SELECT slug, s_name AS entity_name, 'one & only' AS description, 'W24' AS batch, CAST(s_nationkey AS BIGINT) AS employee_count, 'ai' AS tags FROM r WHERE k = 1""",
     "map_product": """WITH r AS (SELECT *, row_number() OVER (PARTITION BY p_partkey % 1500 ORDER BY p_partkey) AS k FROM part WHERE p_partkey % 5 <> 0 AND p_partkey % 11 <> 0)
@@ -395,7 +441,7 @@ SQL = {
     "stream_dedupe": "SELECT DISTINCT user_id, event_type FROM events",
 }
 QUERIES = [
-    board_items, job_normalize, source_yields, per_source_topn, feed_items, parse_atom, json_ld_article, news_join_article, extract_embedded_json, map_product, scan_filter_dedupe, scan_aside, scan_papers, upsert_latest,
+    board_items, job_normalize, source_yields, per_source_topn, feed_items, parse_atom, json_ld_article, sql_json_ld, news_articles, news_errors, news_yields, news_join_article, extract_embedded_json, map_product, scan_filter_dedupe, scan_aside, scan_papers, upsert_latest,
     checkpoint_latest, enqueue_dedupe, queue_eligible, queue_claim, queue_counts, queue_transition, dead_letters, expire_signals, keyset_scan, batch_numbers, graphql_batches, enrich_lookup,
     refresh_coverage, key_hash_rate, canonical_names, entity_exact, entity_resolve, apply_canonical, llm_gate, raw_store, late_split, events_per_day, stream_upsert, stream_dedupe,
 ]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from quern.functions.keys import content_hash
@@ -27,9 +27,10 @@ def write_records(records: DataFrame, path: str) -> None:
 
 
 def write_lines(rows: DataFrame, path: str) -> int:
-    """JSON lines; the number of rows. An empty table still leaves a folder."""
-    rows.write.mode("overwrite").json(path)
-    return rows.count()
+    """JSON lines; the number of rows, counted as they are written. An empty table still leaves a folder."""
+    seen = Observation()
+    rows.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").json(path)
+    return seen.get["rows"]
 
 
 def manifest(records: DataFrame) -> DataFrame:
@@ -37,6 +38,16 @@ def manifest(records: DataFrame) -> DataFrame:
     return records.groupBy("record_type").agg(F.count("*").alias("records"), F.min("record_key").alias("first_key"), F.max("record_key").alias("last_key"))
 
 
+def exported(records: DataFrame, path: str, types: list[str]) -> list[tuple[str, int, str, str]]:
+    """Writes JSON lines by record type, and counts them in the same pass: (record_type, records, first_key, last_key) of
+    those that are there. ``types`` are all that can be."""
+    seen, kind = Observation(), F.col("record_type")
+    facts = [f(F.when(kind == t, F.col("record_key"))).alias(f"{name}_{k}") for k, t in enumerate(types) for name, f in (("n", F.count), ("lo", F.min), ("hi", F.max))]
+    write_records(records.observe(seen, *facts), path)
+    got = seen.get
+    return [(t, got[f"n_{k}"], got[f"lo_{k}"], got[f"hi_{k}"]) for k, t in enumerate(types) if got[f"n_{k}"]]
+
+
 def flat(records: DataFrame, fields: list[str]) -> DataFrame:
     """The named content fields as clean text columns, one row per record."""
     return records.select("record_key", *[without_controls(F.coalesce(F.col("content")[f], F.lit(""))).alias(f) for f in fields])

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from quern.functions.keys import canonical_url
 from quern.functions.markup import html_text, joined_url, json_ld
-from quern.functions.text import collapsed
+from quern.functions.text import collapsed, is_blocked, trimmed
 from quern.functions.times import parse_absolute
 from quern.operators.dedupe import first_wins, per_source_top
 
@@ -70,3 +70,44 @@ def news(items: DataFrame, pages: DataFrame) -> DataFrame:
     """Items whose page was fetched, with its text; others go. The page's first spelling counts."""
     texts = article_text(pages.dropDuplicates(["url"])).groupBy("canonical").agg(F.min_by("full_text", "url").alias("full_text"))
     return items.withColumn("canonical", canonical_url(F.col("url"))).join(texts, "canonical")
+
+
+def _names(author: Column) -> Column:
+    """The names of a linked-data author: an object, or a list of which objects count, joined by commas."""
+    listed = F.from_json(author, "array<string>")
+    many = F.concat_ws(", ", F.transform(F.filter(listed, lambda a: F.startswith(F.ltrim(a), F.lit("{"))), lambda a: F.coalesce(F.get_json_object(a, "$.name"), F.lit(""))))
+    return F.when(F.startswith(F.ltrim(author), F.lit("[")), many).otherwise(F.coalesce(F.get_json_object(author, "$.name"), F.lit("")))
+
+
+def fetched_articles(items: DataFrame, pages: DataFrame) -> DataFrame:
+    """Every item (source, url, title, author) with what its fetch came to: canonical, full_text, authors, method, error.
+
+    pages: url, html, error (null if the fetch went well). The error is the fetch's own, ``blocked`` for a challenge
+    page, or ``not fetched``; such rows have no text. Authors are the feed's, else those of the article's linked data.
+    An address counts once, canonical: of several spellings the least that went well. One pass; ``split_errors``
+    parts it, and ``yields`` counts it.
+    """
+    own = pages.select(canonical_url(F.col("url")).alias("canonical"), "url", "html", F.when(is_blocked(F.lit("text/html"), F.col("html")), "blocked").otherwise(F.col("error")).alias("error"))
+    first = own.groupBy("canonical").agg(F.min_by(F.struct("html", "error"), F.struct(F.col("error").isNotNull(), "url")).alias("page"))
+    joined = items.withColumn("canonical", canonical_url(F.col("url"))).join(first, "canonical", "left")
+    error = F.when(F.col("page").isNull(), "not fetched").otherwise(F.col("page.error"))
+    read = joined.withColumn("error", error).withColumn("html", F.when(F.col("error").isNull(), F.col("page.html"))).drop("page")
+    nodes = F.filter(json_ld("html"), lambda n: F.lower(F.coalesce(F.get_json_object(n, "$['@type']"), F.lit(""))).isin(ARTICLE_TYPES))
+    read = read.withColumn("node", F.get(nodes, 0)).withColumn("body", F.nullif(trimmed(F.get_json_object("node", "$.articleBody")), F.lit("")))
+    given = F.coalesce(F.nullif("author", F.lit("")), _names(F.get_json_object("node", "$.author")))
+    names = F.filter(F.transform(F.split(given, ","), trimmed), lambda n: n != "")
+    gone = F.col("error").isNotNull()
+    return read.select(
+        *items.columns, "canonical", F.when(~gone, F.coalesce("body", html_text("html"))).alias("full_text"), F.when(~gone, names).alias("authors"),
+        F.when(~gone, F.when(F.col("body").isNotNull(), "json_ld").otherwise("page_text")).alias("method"), "error",
+    )
+
+
+def split_errors(fetched: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Articles, and (source, url, reason) of the items without one."""
+    return fetched.where("error is null").drop("error"), fetched.where("error is not null").select("source", F.col("canonical").alias("url"), F.col("error").alias("reason"))
+
+
+def yields(fetched: DataFrame) -> DataFrame:
+    """source, found, accepted: items before and after their fetch."""
+    return fetched.groupBy("source").agg(F.count("*").alias("found"), F.count_if(F.col("error").isNull()).alias("accepted"))
