@@ -82,15 +82,16 @@ def band_keys(shingles: DataFrame) -> DataFrame:
 
     A band's key joins the MinHash of every part in an order of its own. Turning a hash by some bits gives
     another order: which is the least of a set rests on its first bits alone, so a few bits are turn enough.
-    The fingerprint has the last two bits of every MinHash.
+    The fingerprint has the last two bits of every MinHash; it is null for lines of up to SHORT characters.
     """
     turns = [F.shiftleft("h", 6 * b).bitwiseOR(F.shiftrightunsigned("h", 64 - 6 * b)) if b else F.col("h") for b in range(BANDS)]
     part = F.shiftrightunsigned(F.shiftrightunsigned("h", 32) * PARTS, 32)
-    parts = shingles.groupBy("id", part.alias("part")).agg(*[F.min(x).alias(f"b{b}") for b, x in enumerate(turns)])
+    parts = shingles.groupBy("id", part.alias("part")).agg(*[F.min(x).alias(f"b{b}") for b, x in enumerate(turns)], F.count("*").alias("n"))
     keys = [F.bit_xor(F.xxhash64(F.lit(b), "part", f"b{b}")).alias(f"b{b}") for b in range(BANDS)]
     bits = functools.reduce(Column.bitwiseOR, [F.shiftleft(F.col(f"b{b}").bitwiseAND(F.lit(3).cast("long")), 2 * b) for b in range(BANDS)])
     prints = F.bit_xor(F.call_function("shiftleft", bits, (F.col("part") * (2 * BANDS)).cast("int"))).alias("print")
-    return parts.groupBy("id").agg(*keys, prints).select("id", F.array(*[f"b{b}" for b in range(BANDS)]).alias("bands"), "print")
+    signed = parts.groupBy("id").agg(*keys, prints, F.sum("n").alias("n"))
+    return signed.select("id", F.array(*[f"b{b}" for b in range(BANDS)]).alias("bands"), F.when(F.col("n") > SHORT - SHINGLE + 1, F.col("print")).alias("print"))
 
 
 def first_shingles(line: str) -> Column:
@@ -145,25 +146,24 @@ def _pair(x: str, y: str) -> list[Column]:
     return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
 
-def _short(lines: DataFrame) -> DataFrame:
-    """id, first: the bucket keys of short lines that lose no pair."""
-    return lines.where(F.length("line") <= SHORT).select("id", first_shingles("line").alias("first"))
+def _short_keys(docs: DataFrame) -> DataFrame:
+    """key, id: the buckets of short lines that lose no pair."""
+    short = occurrences(docs).where(F.length(F.encode("line", "UTF-16BE")) <= 2 * SHORT).select("id", "line").distinct()
+    return short.select(F.explode(first_shingles("line")).alias("key"), "id")
 
 
 def shared_buckets(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """key, id, n: the lines of every bucket that holds n > 1 of them; and id, print of these lines."""
     lines = occurrences(docs).groupBy("id").agg(F.first("line").alias("line"))
-    # both aggregations are dealt out by id, so the lines' keys meet without another shuffle
-    found = band_keys(shingle_rows(lines)).alias("found").join(_short(lines).alias("short"), "id", "left")
-    bands = F.concat("bands", F.coalesce("first", F.array().cast("array<long>")))
-    signed = written(found.select("id", bands.alias("bands"), F.when(F.col("first").isNull(), F.col("print")).alias("print")), "signed")
-    keys = signed.select(F.explode("bands").alias("key"), "id")
+    signed = written(band_keys(shingle_rows(lines)), "signed")
+    short = written(_short_keys(docs), "short")
+    keys = signed.select(F.explode("bands").alias("key"), "id").unionByName(short)
     # counts before members: a hot bucket is summed in parts, and its members meet it in a join that splits
     counts = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     shared = written(keys.join(counts.hint("shuffle_hash"), "key"), "buckets")
     ids = written(shared.select("id").distinct(), "ids")
     prints = written(signed.select("id", "print").join(_light(ids), "id", "left_semi"), "prints")
-    release(signed, ids)
+    release(signed, short, ids)
     return shared, prints
 
 
