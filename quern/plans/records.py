@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quern.operators import evidence, quality
+from quern.operators.answers import Refused, enriched
 from quern.operators.dedupe import latest_wins
 from quern.operators.enrich import document_of, needs_pricing, with_evidence, within_budget
 from quern.plans.record_sql import FILLED, FLD, NOW, REC
@@ -210,6 +211,38 @@ def llm_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return view.select("record_type", "rid", F.size(F.map_keys(with_evidence(filled, quotes))).alias("n"))
 
 
+class Phrases:
+    """A provider by fixed phrases, for runs without a network: the first phrase that a document holds answers. It is slow to
+    answer (fails the first time) on some, and refuses others."""
+
+    def __init__(self, name: str, phrases: dict[str, tuple[str | None, str | None]], busy: tuple[str, ...] = (), refused: tuple[str, ...] = ()) -> None:
+        self.name, self.phrases, self.busy, self.refused = name, phrases, busy, refused
+
+    def extract(self, document: str, field: str) -> tuple[str | None, str | None]:
+        if any(p in document for p in self.refused):
+            raise Refused
+        if any(p in document for p in self.busy):
+            raise TimeoutError
+        return next((v for p, v in self.phrases.items() if p in document), (None, None))
+
+
+_FIRST = Phrases("first", {"free plan": ("free", " free plan\n"), "enterprise only": ("ENTERPRISE", "enterprise grade"), "subscription": ("MONTHLY", "subscription"), "URGENT": ("Operations", "URGENT"), "MEDIUM": ("engineering", "MEDIUM")}, busy=("paid seats", "LOW"), refused=("HIGH",))
+_SECOND = Phrases("second", {"paid seats": ("Paid", "paid seats"), "HIGH": ("Sales", "HIGH")}, busy=("LOW",))
+
+
+def enrich_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every product and job after enrichment: outcome, tries, the value, and its proof."""
+    view = record_view(spark, sf_dir).where("record_type in ('PRODUCT', 'JOB')")
+    offers = F.element_at(F.array(*map(F.lit, [" free plan", " enterprise only", " subscription", " paid seats", ""])), (F.col("rid") % 5).cast("int") + 1)
+    told = F.transform_values("content", lambda k, v: F.when(k == "description", F.concat(v, offers)).otherwise(v))
+    proofs = F.transform("evidence", lambda e: e.withField("excerpt", F.lit(None).cast("string")))
+    done = enriched(view.withColumns({"content": told, "evidence": proofs}), ["record_type", "rid"], [_FIRST, _SECOND])
+    field = F.when(F.col("record_type") == "PRODUCT", "pricingModel").otherwise("role_family")
+    proof = F.filter("evidence", lambda e: e["field"] == field)
+    return done.select("record_type", "rid", "outcome", "attempts", F.col("content")[field].alias("value"), F.size(proof).alias("proofs"), F.get(proof, F.lit(0))["method"].alias("method"),
+        F.get(proof, F.lit(0))["source_pointer"].alias("pointer"), F.get(proof, F.lit(0))["excerpt"].alias("excerpt"), F.get(proof, F.lit(0))["confidence"].alias("confidence"), F.size("content").alias("fields"), F.size("evidence").alias("all_proofs"))
+
+
 def latest_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest_wins(record_view(spark, sf_dir), ["record_key"], "rid").select("record_key", "rid", "record_type")
 
@@ -249,7 +282,16 @@ SQL = {
     "llm_candidates": """WITH p AS (SELECT CAST(p_partkey AS BIGINT) AS rid, p_partkey % 7 AS m, 'Product: ' || CASE WHEN p_partkey % 29 = 0 THEN p_brand ELSE p_name END || chr(10) || chr(10) || 'Description: ' || p_type || CASE WHEN p_partkey % 3 = 0 THEN ' free plan' ELSE '' END AS doc FROM part)
         SELECT rid, CAST(length(doc) AS INT) AS chars FROM p WHERE m > 2 AND regexp_matches(lower(doc), 'free|freemium|paid|pricing|subscription|enterprise|plan')""",
     "llm_validate": f"{VR} SELECT record_type, rid, CAST(count(*) FILTER (value IS NOT NULL AND proven) AS INT) AS n FROM fld GROUP BY ALL",
+    "enrich_records": """WITH p AS (SELECT 'PRODUCT' AS record_type, CAST(p_partkey AS BIGINT) AS rid, 'pricingModel' AS field, 5 AS fields,
+            CASE p_partkey % 7 WHEN 0 THEN 'FREE' WHEN 1 THEN 'PAID' WHEN 2 THEN 'BARTER' END AS was,
+            CASE WHEN p_partkey % 7 < 3 THEN -1 WHEN p_partkey % 5 < 4 THEN p_partkey % 5 WHEN regexp_matches(lower(p_name || p_type), 'free|paid|pricing|subscription|enterprise|plan') THEN 4 ELSE -1 END AS c FROM part
+        UNION ALL SELECT 'JOB', CAST(o_orderkey AS BIGINT), 'role_family', 7, 'Other', CASE WHEN o_orderpriority LIKE '%URGENT' THEN 5 WHEN o_orderpriority LIKE '%MEDIUM' THEN 6 WHEN o_orderpriority LIKE '%LOW' THEN 7 WHEN o_orderpriority LIKE '%HIGH' THEN 8 ELSE 4 END FROM orders),
+        a(c, outcome, attempts, answer, provider, quote) AS (VALUES (-1, 'none', 0, NULL, NULL, NULL), (0, 'applied', 1, 'FREE', 'first', 'free plan'), (1, 'rejected', 1, NULL, NULL, NULL), (2, 'rejected', 1, NULL, NULL, NULL), (3, 'applied', 3, 'PAID', 'second', 'paid seats'),
+            (4, 'rejected', 1, NULL, NULL, NULL), (5, 'applied', 1, 'Operations', 'first', 'URGENT'), (6, 'rejected', 1, NULL, NULL, NULL), (7, 'failed', 4, NULL, NULL, NULL), (8, 'applied', 2, 'Sales', 'second', 'HIGH'))
+        SELECT record_type, rid, outcome, CAST(attempts AS INT) AS attempts, coalesce(answer, was) AS value, 1 AS proofs, CASE WHEN answer IS NULL THEN 'api' ELSE 'llm' END AS method,
+            CASE WHEN answer IS NULL THEN '/' || field ELSE 'llm:' || provider END AS pointer, quote AS excerpt, CAST(CASE WHEN answer IS NULL THEN 1.0 ELSE 0.85 END AS DOUBLE) AS confidence, CAST(fields AS INT) AS fields,
+            CAST(fields - CASE WHEN rid % 23 = 0 THEN 1 ELSE 0 END AS INT) AS all_proofs FROM p JOIN a USING (c)""",
     "latest_records": f"{VR} SELECT record_key, max(rid) AS rid, any_value(record_type) AS record_type FROM rec GROUP BY 1",
 }
 SQL["llm_budget"] = f"WITH c AS ({SQL['llm_candidates']}), r AS (SELECT rid, row_number() OVER (ORDER BY rid) <= 50 AS called FROM c) SELECT called, count(*) AS n, max(rid) AS last FROM r GROUP BY called"
-QUERIES = [quality_report, quality_errors, submission_gate, evidence_gate, populated_fields, required_fields, schema_contract, payload_contract, domain_checks, evidence_replace, count_by_type, export_manifest, quality_rollup, public_contract, hydrate_legacy, hydrate_records, hydrate_aside, flatten_tabs, llm_candidates, llm_budget, llm_validate, latest_records]
+QUERIES = [quality_report, quality_errors, submission_gate, evidence_gate, populated_fields, required_fields, schema_contract, payload_contract, domain_checks, evidence_replace, count_by_type, export_manifest, quality_rollup, public_contract, hydrate_legacy, hydrate_records, hydrate_aside, flatten_tabs, llm_candidates, llm_budget, llm_validate, enrich_records, latest_records]

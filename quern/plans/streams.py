@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from quern.sinks.shared import scratch
 from quern.sources.records import table
-from quern.streaming import leases
+from quern.streaming import leases, sightings
 
 _LOG = "item long, at timestamp, seq long, kind string, owner string, error string"
 
@@ -43,6 +43,25 @@ def stream_dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("item", F.unix_millis("at").alias("ms"), "attempts", "owner")
 
 
+def stream_first_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A decision for each user's first sight in half-daily scans of seven sources; one source skips every other day."""
+    at = F.timestamp_seconds((F.floor(F.unix_seconds(F.col("ts").cast("timestamp")) / 43_200) + 1) * 43_200)
+    rows = table(spark, sf_dir, "events").select(F.concat(F.lit("s"), (F.col("user_id") % 7).cast("string")).alias("source"), at.alias("scan_at"), F.col("user_id").cast("long").alias("item"), F.col("event_id").cast("long").alias("ord"))
+    rows = rows.where("not (source = 's3' and day(scan_at) % 2 = 0)")
+    where, none = scratch(spark), F.lit(None).cast("long")
+    marks = rows.groupBy("source", "scan_at").agg(none.alias("item"), F.max("ord").alias("ord"))
+    clock = spark.range(1).select(F.lit(None).cast("string").alias("source"), F.lit("2025-01-01").cast("timestamp").alias("scan_at"), none.alias("item"), none.alias("ord"))
+    for k in range(3):
+        rows.unionByName(marks).where(F.floor((F.day("scan_at") - 1) / 11) == k).write.mode("append").parquet(where)
+    clock.write.mode("append").parquet(where)
+    log = spark.readStream.schema("source string, scan_at timestamp, item long, ord long").option("maxFilesPerTrigger", 4).parquet(where)
+    out = scratch(spark)
+    # the scans aren't in order of time within the files: all of a month may be late
+    sightings.run_first_seen(log, f"{out}/t", f"{out}/c", "40 days", 86_400, 4)
+    done = spark.read.schema(sightings.DECISIONS.format("string", "long")).parquet(f"{out}/t")
+    return done.select("source", F.unix_millis("scan_at").alias("ms"), "item", "ord", "status", "method", "accepted")
+
+
 LEASES = """WITH RECURSIVE e AS (SELECT user_id AS item, (epoch_us(ts) // 1000) AS ms, event_id AS seq, 'w' || (CAST(json_extract_string(props, '$.k') AS INT) % 2) AS who,
         CASE event_type WHEN 'view' THEN 'claim' WHEN 'click' THEN 'claim' WHEN 'purchase' THEN 'ok' ELSE 'error' END AS kind, row_number() OVER (PARTITION BY user_id ORDER BY (epoch_us(ts) // 1000), event_id) AS n FROM events),
     r AS (SELECT item, CAST(0 AS BIGINT) AS n, CAST(NULL AS BIGINT) AS ms, CAST(NULL AS BIGINT) AS seq, CAST(NULL AS VARCHAR) AS who, CAST(NULL AS VARCHAR) AS event, 'PENDING' AS status, 0 AS attempts, CAST(NULL AS VARCHAR) AS owner,
@@ -65,5 +84,11 @@ LEASES = """WITH RECURSIVE e AS (SELECT user_id AS item, (epoch_us(ts) // 1000)
 SQL = {
     "stream_leases": LEASES + "SELECT item, ms, seq, event, status, CAST(attempts AS INT) AS attempts, owner FROM t",
     "stream_dead_letters": LEASES + "SELECT item, ms, CAST(attempts AS INT) AS attempts, owner FROM t WHERE event = 'dead'",
+    "stream_first_seen": """WITH r AS (SELECT 's' || (user_id % 7) AS source, (epoch_us(ts) // 43200000000 + 1) * 43200000 AS ms, CAST(user_id AS BIGINT) AS item, CAST(event_id AS BIGINT) AS ord FROM events),
+        sight AS (SELECT source, ms, item, max(ord) AS ord FROM r WHERE NOT (source = 's3' AND day(epoch_ms(ms)) % 2 = 0) GROUP BY ALL),
+        scan AS (SELECT source, ms, lag(ms) OVER w AS before, lag(max(ord)) OVER w AS head FROM sight GROUP BY source, ms WINDOW w AS (PARTITION BY source ORDER BY ms)),
+        d AS (SELECT s.*, before, head < s.ord AND NOT EXISTS (SELECT 1 FROM sight p WHERE p.source = s.source AND p.item = s.item AND p.ms = before) AS enough FROM sight s JOIN scan USING (source, ms)),
+        m AS (SELECT *, CASE WHEN NOT coalesce(enough AND ms - before <= 172800000, false) THEN 'first_seen_insufficient_evidence' WHEN ms - before > 86400000 THEN 'first_seen_scan_gap' ELSE 'first_seen_after_previous_head' END AS method FROM d)
+        SELECT source, ms, item, ord, CASE WHEN method LIKE '%head' THEN 'INFERRED' ELSE 'UNCERTAIN' END AS status, method, method LIKE '%head' AS accepted FROM m""",
 }
-QUERIES = [stream_leases, stream_dead_letters]
+QUERIES = [stream_leases, stream_dead_letters, stream_first_seen]
