@@ -10,7 +10,7 @@ from quern.operators.answers import Refused, enriched
 from quern.operators.dedupe import latest_wins
 from quern.operators.enrich import document_of, needs_pricing, with_evidence, within_budget
 from quern.plans.record_sql import FILLED, FLD, NOW, REC
-from quern.sinks import export
+from quern.sinks import export, tabs
 from quern.sinks.documents import hydrated_records, public_documents
 from quern.sources.records import now, record_view
 
@@ -190,6 +190,36 @@ def flatten_tabs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return export.flat(record_view(spark, sf_dir).where("record_type = 'JOB'"), ["company", "title", "date", "is_remote"]).withColumnRenamed("date", "dated")
 
 
+def _tab(kind: str):
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        records, _ = hydrated_records(_legacy(record_view(spark, sf_dir).where(F.col("record_type") == kind)))
+        return tabs.tab(public_documents(records), kind)
+
+    query.__name__ = f"tab_{kind.lower()}"
+    query.__doc__ = f"The {kind} tab of all whole records: read back, written as public documents, flattened."
+    return query
+
+
+def _cell_sql(route: str) -> str:
+    fixed = {"schemaVersion": "CASE WHEN rid % 2 = 0 THEN '1.1' ELSE '1.0' END", "recordType": "record_type", "source.name": "lower(record_type)", "source.url": "source_url",
+             "collectedAt": "'2024-01-30 12:00:00'", "source.contentHash": "'h'", "recordKey": "record_key"}
+    name = route.removeprefix("content.")
+    value = f"max(value) FILTER (field = '{name}')"
+    if route in fixed:
+        out = f"any_value({fixed[route]})"
+    elif route in tabs.WHOLE:
+        out = f"TRY_CAST({value} AS BIGINT)"
+    elif route in tabs.SHARE:
+        out = f"TRY_CAST({value} AS DOUBLE)"
+    elif route in tabs.FLAG:
+        out = f"coalesce(TRY_CAST({value} AS BOOLEAN), false)"
+    elif route in tabs.TIME:
+        out = f"nullif(coalesce(strftime(TRY_CAST({value} AS TIMESTAMP), '%Y-%m-%d %H:%M:%S'), {value}), '')"
+    else:
+        out = f"regexp_replace(coalesce({value}, ''), '[\\x00-\\x08\\x0B\\x0C\\x0E-\\x1F]', '', 'g')"
+    return f'{out} AS "{tabs.column_name(route)}"'
+
+
 def llm_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     view = record_view(spark, sf_dir).where("record_type = 'PRODUCT'")
     c = F.col("content")
@@ -294,4 +324,5 @@ SQL = {
     "latest_records": f"{VR} SELECT record_key, max(rid) AS rid, any_value(record_type) AS record_type FROM rec GROUP BY 1",
 }
 SQL["llm_budget"] = f"WITH c AS ({SQL['llm_candidates']}), r AS (SELECT rid, row_number() OVER (ORDER BY rid) <= 50 AS called FROM c) SELECT called, count(*) AS n, max(rid) AS last FROM r GROUP BY called"
-QUERIES = [quality_report, quality_errors, submission_gate, evidence_gate, populated_fields, required_fields, schema_contract, payload_contract, domain_checks, evidence_replace, count_by_type, export_manifest, quality_rollup, public_contract, hydrate_legacy, hydrate_records, hydrate_aside, flatten_tabs, llm_candidates, llm_budget, llm_validate, enrich_records, latest_records]
+SQL |= {f"tab_{k.lower()}": f"{VR} SELECT {', '.join(map(_cell_sql, routes))} FROM rec JOIN fld USING (record_type, rid) WHERE record_type = '{k}' AND rid % 31 <> 0 AND rid % 37 <> 0 GROUP BY rid" for k, routes in tabs.TABS.items()}
+QUERIES = [*map(_tab, tabs.TABS), quality_report, quality_errors, submission_gate, evidence_gate, populated_fields, required_fields, schema_contract, payload_contract, domain_checks, evidence_replace, count_by_type, export_manifest, quality_rollup, public_contract, hydrate_legacy, hydrate_records, hydrate_aside, flatten_tabs, llm_candidates, llm_budget, llm_validate, enrich_records, latest_records]
