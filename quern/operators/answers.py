@@ -18,8 +18,8 @@ from quern.sinks.shared import stored
 PRICING_MODELS = ["FREE", "FREEMIUM", "PAID", "ENTERPRISE"]
 ROLE_FAMILIES = ["Research", "Data", "Product", "Engineering", "Sales", "Marketing", "Operations", "Other"]
 CONFIDENCE, EXCERPT = 0.85, 500
-#: Up to this many answers travel by broadcast; more are joined by shuffle.
-BROADCAST_ANSWERS = 100_000
+#: Answers of up to this many bytes in all travel by broadcast; more are joined by shuffle.
+BROADCAST_BYTES = 32 << 20
 
 
 class Refused(Exception):
@@ -92,9 +92,10 @@ def enriched(records: DataFrame, keys: list[str], providers: Sequence[Provider],
         # the budget comes out in one partition: it is spread again, so that executors ask side by side
         questions = questions.orderBy(*keys).limit(calls).repartition(*keys)
     answers = stored(asked(questions, keys, providers, retries))
+    texts = [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in (*keys, "value", "quote", "provider")]
+    held = answers.agg(F.sum(sum(texts, F.lit(64))).alias("n")).first()["n"] or 0
     answers = answers.select(*keys, F.struct("value", "quote", "provider", "attempts").alias("_answer"))
-    few = answers.count() <= BROADCAST_ANSWERS
-    rows = open_.join(F.broadcast(answers) if few else answers, keys, "left")
+    rows = open_.join(F.broadcast(answers) if held <= BROADCAST_BYTES else answers, keys, "left")
     field, document, answer = F.col("_open.field"), F.col("_open.document"), F.col("_answer")
     value = F.when(field == "pricingModel", F.upper(answer["value"])).otherwise(answer["value"])
     quote = trimmed(answer["quote"])

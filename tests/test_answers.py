@@ -6,6 +6,7 @@ import sys
 import pytest
 from pyspark import cloudpickle
 
+from quern.operators import answers
 from quern.operators.answers import Refused, asked, enriched
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])  # workers don't have the tests' folder
@@ -51,8 +52,8 @@ def test_effect(spark):
         (9, "JOB", "https://j/9", {"title": None, "full_text": None, "role_family": "Other"}, None, None), (10, "JOB", "https://j/10", {"title": "x", "role_family": "Sales"}, None, None), (11, None, None, None, None, None),
         (None, "PRODUCT", "https://p/0", {"productName": "n", "description": "free plan", "pricingModel": None}, None, None),
     ]
-    answers = {"Start with": ("free", " free plan "), "a paid": ("PAID", "Paid plan"), "enterprise": ("HUGE", "enterprise plan"), "xxx": ("FREE", long), "subscription": ("PAID", "  "), "Data engineer": ("Data", "Data engineer")}
-    got = {r.id: r for r in enriched(table(spark, rows), ["id"], [Scripted("one", answers)]).collect()}
+    found = {"Start with": ("free", " free plan "), "a paid": ("PAID", "Paid plan"), "enterprise": ("HUGE", "enterprise plan"), "xxx": ("FREE", long), "subscription": ("PAID", "  "), "Data engineer": ("Data", "Data engineer")}
+    got = {r.id: r for r in enriched(table(spark, rows), ["id"], [Scripted("one", found)]).collect()}
     assert len(got) == len(rows)
     assert {i: r.outcome for i, r in got.items()} == {1: "applied", 2: "none", 3: "none", 4: "rejected", 5: "rejected", 6: "applied", 7: "rejected", 8: "applied", 9: "rejected", 10: "none", 11: "none", None: "unasked"}
     first = got[1]
@@ -87,6 +88,14 @@ def test_budget_and_single_asking(spark, tmp_path, budget):
     assert calls(tmp_path) == min(budget, 5)
 
 
+def test_answers_by_shuffle(spark, monkeypatch):
+    rows = [product(i, "free plan" if i % 2 else "a paid plan") for i in range(1, 9)]
+    provider = Scripted("a", {"free": ("FREE", "free plan")})
+    by_broadcast = enriched(table(spark, rows), ["id"], [provider]).orderBy("id").collect()
+    monkeypatch.setattr(answers, "BROADCAST_BYTES", -1)
+    assert enriched(table(spark, rows), ["id"], [provider]).orderBy("id").collect() == by_broadcast
+
+
 def test_no_rows(spark):
     assert enriched(table(spark, []), ["id"], [Scripted("a", {})]).collect() == []
     none = spark.createDataFrame([], "id long, field string, document string")
