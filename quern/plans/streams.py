@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quern.sinks.shared import scratch
+from quern.sources.bodies import RawBodies, append_bodies
 from quern.sources.records import table
 from quern.streaming import leases, sightings
 
@@ -43,6 +44,36 @@ def stream_dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("item", F.unix_millis("at").alias("ms"), "attempts", "owner")
 
 
+_BODY = "page long, address string, body string"
+
+
+def _body_log(spark: SparkSession, sf_dir: str) -> str:
+    """The pages as a log of raw bodies in three batches."""
+    spark.dataSource.register(RawBodies)
+    where = scratch(spark)
+    pages = table(spark, sf_dir, "pages").select(F.col("page_id").alias("page"), F.col("url").alias("address"), F.col("html").alias("body"))
+    for number in range(3):
+        append_bodies(pages.where(F.pmod(F.coalesce("page", F.lit(0)), F.lit(3)) == number), where, number)
+    return where
+
+
+def _digests(rows: DataFrame) -> DataFrame:
+    return rows.select(F.col("page").alias("page_id"), "address", F.length("body").cast("long").alias("n_chars"), F.sha2("body", 256).alias("body_sha256"))
+
+
+def raw_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every stored body, read from its log by the data source."""
+    return _digests(spark.read.format("raw_bodies").schema(_BODY).load(_body_log(spark, sf_dir)))
+
+
+def raw_body_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same rows from a stream over the log."""
+    where = scratch(spark)
+    rows = _digests(spark.readStream.format("raw_bodies").schema(_BODY).load(_body_log(spark, sf_dir)))
+    rows.writeStream.format("parquet").option("checkpointLocation", f"{where}/c").trigger(availableNow=True).start(f"{where}/t").awaitTermination()
+    return spark.read.schema(rows.schema).parquet(f"{where}/t")
+
+
 def stream_first_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A decision for each user's first sight in half-daily scans of seven sources; one source skips every other day."""
     at = F.timestamp_seconds((F.floor(F.unix_seconds(F.col("ts").cast("timestamp")) / 43_200) + 1) * 43_200)
@@ -81,7 +112,10 @@ LEASES = """WITH RECURSIVE e AS (SELECT user_id AS item, (epoch_us(ts) // 1000)
         UNION ALL SELECT item, gone_at, -1, 'expired', 'PENDING', attempts - CASE WHEN event = 'claimed' THEN 1 ELSE 0 END, gone FROM r WHERE ran
         UNION ALL SELECT item, expires, -1, 'expired', 'PENDING', attempts, owner FROM r WHERE status = 'LEASED' AND n = (SELECT max(n) FROM e WHERE e.item = r.item))
     """
+_BODIES = "SELECT page_id, url AS address, length(html) AS n_chars, sha256(html) AS body_sha256 FROM pages"
 SQL = {
+    "raw_bodies": _BODIES,
+    "raw_body_stream": _BODIES,
     "stream_leases": LEASES + "SELECT item, ms, seq, event, status, CAST(attempts AS INT) AS attempts, owner FROM t",
     "stream_dead_letters": LEASES + "SELECT item, ms, CAST(attempts AS INT) AS attempts, owner FROM t WHERE event = 'dead'",
     "stream_first_seen": """WITH r AS (SELECT 's' || (user_id % 7) AS source, (epoch_us(ts) // 43200000000 + 1) * 43200000 AS ms, CAST(user_id AS BIGINT) AS item, CAST(event_id AS BIGINT) AS ord FROM events),
@@ -91,4 +125,4 @@ SQL = {
         m AS (SELECT *, CASE WHEN NOT coalesce(enough AND ms - before <= 172800000, false) THEN 'first_seen_insufficient_evidence' WHEN ms - before > 86400000 THEN 'first_seen_scan_gap' ELSE 'first_seen_after_previous_head' END AS method FROM d)
         SELECT source, ms, item, ord, CASE WHEN method LIKE '%head' THEN 'INFERRED' ELSE 'UNCERTAIN' END AS status, method, method LIKE '%head' AS accepted FROM m""",
 }
-QUERIES = [stream_leases, stream_dead_letters, stream_first_seen]
+QUERIES = [stream_leases, stream_dead_letters, stream_first_seen, raw_bodies, raw_body_stream]
