@@ -5,6 +5,8 @@ Raw payloads are built from the tables as the sources would receive them, then p
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -17,7 +19,7 @@ from quern.plans.record_sql import NOW
 from quern.sinks.buckets import KeyedTable
 from quern.sinks.export import new_bodies
 from quern.sinks.shared import scratch
-from quern.sources import boards, catalog, feeds
+from quern.sources import adapters, boards, catalog, feeds
 from quern.sources.chains import chained
 from quern.sources.records import now, stamp, table
 from quern.streaming import keyed
@@ -145,7 +147,7 @@ def news_join_article(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "canonical", (F.length("full_text") > 0).alias("filled"))
 
 
-def extract_embedded_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _company_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     company = F.struct(F.concat(F.lit("s"), (F.col("s_suppkey") % 1000).cast("string")).alias("slug"), F.col("s_name").alias("name"), F.lit(" ").alias("long_description"), F.lit("one & only").alias("one_liner"), F.lit("w24").alias("batch_name"), F.concat(F.lit("about "), F.col("s_nationkey").cast("string")).alias("team_size"), F.array(F.lit("ai"), F.lit("")).alias("tags"))
     # pages of bounded size, in order of nation and then of supplier
     page = F.col("s_nationkey") * 1_000_000 + F.floor(F.col("s_suppkey") / 2500)
@@ -153,15 +155,22 @@ def extract_embedded_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     data = F.to_json(F.struct(F.struct("companies").alias("props")))
     escaped = F.replace(F.replace(data, F.lit("&"), F.lit("&amp;")), F.lit('"'), F.lit("&quot;"))
     html = F.concat(F.lit('<html><div id="app" data-page="'), escaped, F.lit('"></div></html>'))
-    s = catalog.startups(bodies.select("page", html.alias("html")))
+    return bodies.select("page", html.alias("html"))
+
+
+def extract_embedded_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = catalog.startups(_company_pages(spark, sf_dir))
     return s.select("slug", "entity_name", "description", "batch", "employee_count", F.array_join("tags", ",").alias("tags"))
 
 
-def map_product(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _product_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
     title = F.when(F.col("p_partkey") % 3 == 0, F.col("p_name"))
     item = F.struct(F.concat(F.when(F.col("p_partkey") % 5 != 0, F.lit("own/")).otherwise(""), F.lit("my-app_"), (F.col("p_partkey") % 1500).cast("string")).alias("id"), (F.col("p_partkey") % 11 == 0).alias("private"), F.col("p_size").alias("likes"), F.lit("gradio").alias("sdk"), F.struct(title.alias("title")).alias("cardData"), F.array(F.col("p_brand"), F.lit("")).alias("tags"))
-    bodies = table(spark, sf_dir, "part").groupBy((F.floor(F.col("p_partkey") / 100)).alias("page")).agg(F.to_json(F.transform(F.sort_array(F.collect_list(F.struct("p_partkey", item.alias("i")))), lambda x: x["i"])).alias("body"))
-    return catalog.products(bodies).select("id", "startup_name", "product_name", "likes", F.array_join("tags", ",").alias("tags"))
+    return table(spark, sf_dir, "part").groupBy((F.floor(F.col("p_partkey") / 100)).alias("page")).agg(F.to_json(F.transform(F.sort_array(F.collect_list(F.struct("p_partkey", item.alias("i")))), lambda x: x["i"])).alias("body"))
+
+
+def map_product(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return catalog.products(_product_bodies(spark, sf_dir)).select("id", "startup_name", "product_name", "likes", F.array_join("tags", ",").alias("tags"))
 
 
 def _cursor_pages(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -190,12 +199,34 @@ def scan_aside(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chained(*_cursor_pages(spark, sf_dir))[1]
 
 
-def scan_papers(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _paper_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
     paper = F.struct(F.concat(F.lit("24."), (F.col("doc_id") % 700).cast("string"), F.lit("v1")).alias("id"), F.col("lang").alias("title"), F.when(F.col("doc_id") % 2 == 0, F.concat(F.lit("see https://github.com/a/b"), F.col("doc_id").cast("string"), F.lit(".git)."))).alias("summary"))
     entry = F.when(F.col("doc_id") % 3 == 0, F.to_json(F.struct(paper.alias("paper")))).otherwise(F.to_json(paper))
     bodies = table(spark, sf_dir, "documents").groupBy((F.floor(F.col("doc_id") / 50)).alias("page")).agg(F.sort_array(F.collect_list(F.struct("doc_id", entry.alias("e")))).alias("es"))
-    raw = bodies.select("page", F.concat(F.lit("["), F.array_join(F.transform("es", lambda x: x["e"]), ","), F.lit("]")).alias("body"))
-    return catalog.papers(raw, require_repo=True).select("id", "title", "github_url", "record_key")
+    return bodies.select("page", F.concat(F.lit("["), F.array_join(F.transform("es", lambda x: x["e"]), ","), F.lit("]")).alias("body"))
+
+
+def scan_papers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return catalog.papers(_paper_bodies(spark, sf_dir), require_repo=True).select("id", "title", "github_url", "record_key")
+
+
+def _collected(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Company pages, product lists, papers and, without an adapter, web pages, stored by source."""
+    web = table(spark, sf_dir, "pages").select(F.col("page_id").alias("page"), F.col("html").alias("body"))
+    named = {"directory": _company_pages(spark, sf_dir).withColumnRenamed("html", "body"), "spaces": _product_bodies(spark, sf_dir), "papers": _paper_bodies(spark, sf_dir), "web": web}
+    where = scratch(spark)
+    rows = [b.select(F.lit(name).alias("source"), F.col("page").cast("long").alias("page"), "body") for name, b in named.items()]
+    functools.reduce(DataFrame.unionByName, rows).write.partitionBy("source").parquet(where)
+    return adapters.collect(spark.read.schema("page long, body string, source string").parquet(where), adapters.known_adapters())
+
+
+def adapter_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All records of all sources that have an adapter, from one store of raw bodies."""
+    return _collected(spark, sf_dir)[0]
+
+
+def adapter_aside(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _collected(spark, sf_dir)[1]
 
 
 def upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -410,6 +441,14 @@ SQL = {
         SELECT slug, s_name AS entity_name, 'one & only' AS description, 'W24' AS batch, CAST(s_nationkey AS BIGINT) AS employee_count, 'ai' AS tags FROM r WHERE k = 1""",
     "map_product": """WITH r AS (SELECT *, row_number() OVER (PARTITION BY p_partkey % 1500 ORDER BY p_partkey) AS k FROM part WHERE p_partkey % 5 <> 0 AND p_partkey % 11 <> 0)
         SELECT 'own/my-app_' || (p_partkey % 1500) AS id, 'own' AS startup_name, CASE WHEN p_partkey % 3 = 0 THEN p_name ELSE 'my app ' || (p_partkey % 1500) END AS product_name, p_size AS likes, p_brand AS tags FROM r WHERE k = 1""",
+    "adapter_records": """WITH s AS (SELECT *, 's' || (s_suppkey % 1000) AS slug, row_number() OVER (PARTITION BY s_suppkey % 1000 ORDER BY s_nationkey, s_name) AS k FROM supplier),
+        p AS (SELECT *, row_number() OVER (PARTITION BY p_partkey % 1500 ORDER BY p_partkey) AS k FROM part WHERE p_partkey % 5 <> 0 AND p_partkey % 11 <> 0),
+        d AS (SELECT *, row_number() OVER (PARTITION BY doc_id % 700 ORDER BY doc_id) AS k FROM documents)
+        SELECT 'directory' AS source, sha256('directory:' || slug) AS record_key, s_name AS title FROM s WHERE k = 1
+        UNION ALL SELECT 'spaces', sha256('space:own/my-app_' || (p_partkey % 1500)), CASE WHEN p_partkey % 3 = 0 THEN p_name ELSE 'my app ' || (p_partkey % 1500) END FROM p WHERE k = 1
+        UNION ALL SELECT 'papers', sha256('arxiv:24.' || (doc_id % 700)), lang FROM d WHERE k = 1 AND trim(lang) <> ''""",
+    "adapter_aside": """SELECT 'web' AS source, page_id AS page, 'no adapter' AS reason FROM pages
+        UNION ALL SELECT 'papers', doc_id // 50, 'invalid' FROM (SELECT *, row_number() OVER (PARTITION BY doc_id % 700 ORDER BY doc_id) AS k FROM documents) WHERE k = 1 AND coalesce(trim(lang), '') = ''""",
     "scan_papers": """WITH r AS (SELECT *, row_number() OVER (PARTITION BY doc_id % 700 ORDER BY doc_id) AS k FROM documents)
         SELECT '24.' || (doc_id % 700) || 'v1' AS id, lang AS title, 'https://github.com/a/b' || doc_id AS github_url, sha256('arxiv:24.' || (doc_id % 700)) AS record_key FROM r WHERE k = 1 AND doc_id % 2 = 0""",
     "upsert_latest": """WITH s AS (SELECT user_id, max(event_id) AS event_id, arg_max(event_type, event_id) AS t, arg_max(value, event_id) AS v FROM events WHERE event_id % 2 = 0 GROUP BY 1),
@@ -441,7 +480,7 @@ SQL = {
     "stream_dedupe": "SELECT DISTINCT user_id, event_type FROM events",
 }
 QUERIES = [
-    board_items, job_normalize, source_yields, per_source_topn, feed_items, parse_atom, json_ld_article, sql_json_ld, news_articles, news_errors, news_yields, news_join_article, extract_embedded_json, map_product, scan_filter_dedupe, scan_aside, scan_papers, upsert_latest,
+    board_items, job_normalize, source_yields, per_source_topn, feed_items, parse_atom, json_ld_article, sql_json_ld, news_articles, news_errors, news_yields, news_join_article, extract_embedded_json, map_product, scan_filter_dedupe, scan_aside, scan_papers, adapter_records, adapter_aside, upsert_latest,
     checkpoint_latest, enqueue_dedupe, queue_eligible, queue_claim, queue_counts, queue_transition, dead_letters, expire_signals, keyset_scan, batch_numbers, graphql_batches, enrich_lookup,
     refresh_coverage, key_hash_rate, canonical_names, entity_exact, entity_resolve, apply_canonical, llm_gate, raw_store, late_split, events_per_day, stream_upsert, stream_dedupe,
 ]
