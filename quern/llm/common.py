@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import contextlib
 import contextvars
+import math
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -11,11 +12,15 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Words are runs of anything but space, tab, line feed, vertical tab, form feed and carriage return.
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
+#: Up to this many ids or documents travel by broadcast; more, by a shuffle join.
+BROADCAST_ROWS = 500_000
+#: Bins that a group's values are dealt into at a time.
+BINS = 1024
 
 _local_dir: str | None = None
 _recording: contextvars.ContextVar[list[DataFrame] | None] = contextvars.ContextVar("recording", default=None)
@@ -72,6 +77,41 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def light(df: DataFrame) -> DataFrame:
+    """Marked for broadcast if its rows are few; counted, not guessed."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
+def exact_quantiles(rows: DataFrame, share: float, up: bool) -> dict[str | None, tuple[int, float]]:
+    """Of each group of rows (grp, value): how many there are, and the value at place share * (n - 1), rounded up or down.
+
+    A group's values are dealt into bins between its least and its greatest; the bin that holds the place
+    is dealt again, until all its values are equal. One row for each group reaches the driver. Values are finite.
+    """
+    spark, place = rows.sparkSession, math.ceil if up else math.floor
+    sizes, found, live = {}, {}, []
+
+    def settle(grp: str | None, k: int, lo: float, hi: float) -> None:
+        if lo == hi:
+            found[grp] = lo
+        else:
+            live.append((grp, k, lo, hi))
+
+    for r in rows.groupBy("grp").agg(F.count("*").alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi")).collect():
+        sizes[r.grp] = r.n
+        settle(r.grp, int(place(share * (r.n - 1))), r.lo, r.hi)
+    while live:
+        chosen = spark.createDataFrame(live, "name string, k long, least double, most double")
+        live = []
+        inside = rows.join(F.broadcast(chosen), F.col("grp").eqNullSafe(F.col("name"))).where("value between least and most")
+        bins = inside.groupBy("grp", "k", F.floor((F.col("value") - F.col("least")) / (F.col("most") - F.col("least")) * BINS).alias("bin"))
+        counts = bins.agg(F.count("*").alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi"))
+        below = counts.withColumn("below", F.sum("n").over(Window.partitionBy("grp").orderBy("bin")) - F.col("n"))
+        for r in below.where("k >= below and k < below + n").collect():
+            settle(r.grp, r.k - r.below, r.lo, r.hi)
+    return {grp: (sizes[grp], found[grp]) for grp in sizes}
+
+
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | pa.Table | None], schema) -> DataFrame:
     """``mapInArrow`` for functions of one batch."""
 
@@ -143,6 +183,17 @@ def need(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*[F.col(f"`{n}`") for n in names])
 
 
+def discounts(n1: int, n2: int, n3: int, n4: int) -> tuple[float, float, float]:
+    """The three discounts from the numbers of n-grams seen once to four times.
+
+    Where the estimate isn't defined or leaves 0 to its count, 1/2, 1 and 3/2 stand in.
+    """
+    y = n1 / (n1 + 2 * n2) if n1 else 0.0
+    least = (0.5, 1.0, 1.5)
+    got = [k - (k + 1) * y * up / n if n else -1.0 for k, n, up in ((1, n1, n2), (2, n2, n3), (3, n3, n4))]
+    return tuple(d if 0 < d < k else s for d, k, s in zip(got, (1, 2, 3), least, strict=True))
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """The name, or one like it that no column has, in any case."""
     taken = {c.lower() for c in df.columns}

@@ -24,8 +24,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quern.llm.common import ascii_lower_words, fresh_path, local_path, map_batches, mixed, need, word_hashes, written
-from quern.llm.quality_classifier import discounts
+from quern.llm.common import ascii_lower_words, discounts, fresh_path, local_path, map_batches, mixed, need, word_hashes, written
 
 #: Hashes of what stands before the first word and after the last; words hold no space, so none collides by text.
 START, END = (int(h) for h in word_hashes([b" start", b" end"]))

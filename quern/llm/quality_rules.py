@@ -2,8 +2,8 @@
 
 The ratio sets a trusted-target multinomial against that of the raw corpus, over hashed byte n-grams of
 the lower-cased words, and divides by the number of n-grams. The target's counts come from one half of
-a bounded sample of trusted documents; the threshold is a low quantile of the other half's scores, so
-every document meets the same fixed number. The raw counts cover every document.
+all trusted documents; the threshold is a low quantile of all the other half's scores, so every document
+meets the same fixed number. The raw counts cover every document.
 """
 
 from __future__ import annotations
@@ -13,14 +13,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quern.llm.common import map_batches, mixed, need, word_hashes
+from quern.llm.common import exact_quantiles, light, map_batches, mixed, need, word_hashes, written
 
 #: Length of the byte n-grams, and the number of buckets that they are hashed into.
 N_GRAM, BUCKETS = 5, 1 << 17
 #: Smoothing added to every bucket of both multinomials.
 SMOOTHING = 0.1
-#: Bound on the sample of trusted documents: that many ids at most reach the driver and the tasks.
-TRUSTED_DOCUMENTS = 20_000
 #: Share of trusted documents that score below the threshold.
 TRUSTED_SHARE_LOST = 0.01
 
@@ -28,18 +26,26 @@ _SPACES = " \t\n\v\f\r"
 _SYMBOLS = "#*$%&|<>"
 
 
-def trusted_ids(labels: DataFrame, bound: int = TRUSTED_DOCUMENTS) -> tuple[np.ndarray, np.ndarray]:
-    """Two sorted halves of at most ``bound`` ids labelled of high quality and not toxic.
+def trusted(labels: DataFrame) -> DataFrame:
+    """doc_id, held: every id labelled of high quality and not toxic, and which half it is in.
 
-    The ids lowest in hash order are taken, so the sample doesn't depend on the rows' order; the
-    halves differ in the hash's last bit. An id with any label against it is left out.
+    The halves differ in the last bit of the id's hash, so they don't depend on the rows' order. An id
+    with any label against it is left out.
     """
     per_doc = need(labels, "doc_id", "quality", "toxic").where("doc_id is not null").groupBy("doc_id").agg(F.min("quality").alias("q"), F.max("toxic").alias("t"))
-    rank = F.xxhash64("doc_id", F.lit(5))
-    rows = per_doc.where("q = 1 and t = 0").select("doc_id", rank.alias("h")).orderBy("h", "doc_id").limit(bound).collect()
-    fit = np.array(sorted(r.doc_id for r in rows if r.h % 2 == 0), np.int64)
-    held = np.array(sorted(r.doc_id for r in rows if r.h % 2), np.int64)
-    return fit, held
+    return per_doc.where("q = 1 and t = 0").select("doc_id", (F.xxhash64("doc_id", F.lit(5)).bitwiseAND(F.lit(1).cast("long")) == 1).alias("held"))
+
+
+def halves(labels: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """doc_id of the half to fit on, and of the half held out."""
+    ids = written(trusted(labels), "trusted")
+    return ids.where("not held").select("doc_id"), ids.where("held").select("doc_id")
+
+
+def trusted_ids(labels: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Both halves as sorted arrays, to look at small tables; the operators leave them in Spark."""
+    rows = trusted(labels).collect()
+    return tuple(np.array(sorted(r.doc_id for r in rows if r.held == held), np.int64) for held in (False, True))
 
 
 def among(ids: np.ndarray, sorted_ids: np.ndarray) -> np.ndarray:
@@ -70,22 +76,22 @@ def buckets_of(text: str | None) -> np.ndarray:
     return (h >> np.uint32(32 - (BUCKETS.bit_length() - 1))).astype(np.int64)
 
 
-def bucket_counts(docs: DataFrame, fit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Counts of every bucket in all documents and in the trusted ones; BUCKETS rows in the end."""
+def bucket_counts(docs: DataFrame, fit: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Counts of every bucket in all documents and in those of ``fit`` (doc_id); BUCKETS rows in the end."""
+    marked = need(docs, "doc_id", "text").join(light(fit.select("doc_id", F.lit(True).alias("good"))), "doc_id", "left")
 
     def run(batches):
         raw, target = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
         for batch in batches:
-            trusted = among(ids_of(batch), fit)
-            for text, good in zip(batch.column(1).to_pylist(), trusted.tolist(), strict=True):
-                c = buckets_of(text)
+            for text, good in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
+                c = buckets_of(text.as_py())
                 np.add.at(raw, c, 1)
                 if good:
                     np.add.at(target, c, 1)
         some = np.flatnonzero(raw)
         yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(raw[some]), pa.array(target[some])], ["bucket", "n_raw", "n_target"])
 
-    counts = need(docs, "doc_id", "text").mapInArrow(run, "bucket long, n_raw long, n_target long").groupBy("bucket").agg(F.sum("n_raw").alias("n_raw"), F.sum("n_target").alias("n_target")).toPandas()
+    counts = marked.select("text", "good").mapInArrow(run, "bucket long, n_raw long, n_target long").groupBy("bucket").agg(F.sum("n_raw").alias("n_raw"), F.sum("n_target").alias("n_target")).toPandas()
     raw, target = np.zeros(BUCKETS), np.zeros(BUCKETS)
     raw[counts["bucket"].to_numpy(np.int64)] = counts["n_raw"]
     target[counts["bucket"].to_numpy(np.int64)] = counts["n_target"]
@@ -142,19 +148,11 @@ def scored(docs: DataFrame, weights: np.ndarray) -> DataFrame:
     return map_batches(need(docs, "doc_id", "text"), run, "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, score double")
 
 
-def threshold_of(docs: DataFrame, held: np.ndarray, weights: np.ndarray) -> float:
-    """A low quantile of the scores of the held half's documents that pass the base rules (at most
-    TRUSTED_DOCUMENTS numbers); none: -inf."""
-    ids = docs.sparkSession.sparkContext.broadcast(held)
-
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        at = np.flatnonzero(among(ids_of(batch), ids.value))
-        texts = [batch.column(1)[int(i)].as_py() for i in at]
-        judged = [t for t in texts if t and not fails_base(*features(t)[::4])]
-        return pa.RecordBatch.from_arrays([pa.array([ratio(t, weights) for t in judged], pa.float64())], ["score"])
-
-    scores = [r.score for r in map_batches(need(docs, "doc_id", "text").where("doc_id is not null"), run, "score double").collect()]
-    return float(np.quantile(scores, TRUSTED_SHARE_LOST, method="lower")) if scores else -np.inf
+def threshold_of(scores: DataFrame, held: DataFrame) -> float:
+    """A low quantile of the scores of all held-out documents (doc_id) that pass the base rules; none: -inf."""
+    judged = scores.join(light(held), "doc_id", "left_semi").where(~fails_base(F.col("n_words"), F.col("n_repeat_words")))
+    found = exact_quantiles(judged.select(F.lit("").alias("grp"), F.col("score").alias("value")), TRUSTED_SHARE_LOST, up=False)
+    return found[""][1] if found else -np.inf
 
 
 def fails_base(n_words, n_repeat_words):
@@ -168,10 +166,9 @@ def apply_rules(docs: DataFrame, labels: DataFrame) -> DataFrame:
     Null and empty texts have no words and fail the base rules. Repeated rows are judged alike. Without
     labels the ratio's threshold is minus infinity: the base rules decide alone. No shuffle of texts.
     """
-    fit, held = trusted_ids(labels)
-    weights = weights_of(*bucket_counts(docs, fit))
-    threshold = threshold_of(docs, held, weights)
-    out = scored(docs, weights).withColumn("threshold", F.lit(threshold))
+    fit, held = halves(labels)
+    scores = written(scored(docs, weights_of(*bucket_counts(docs, fit))), "scores")
+    out = scores.withColumn("threshold", F.lit(threshold_of(scores, held)))
     failed = fails_base(F.col("n_words"), F.col("n_repeat_words"))
     return out.withColumn("base_failed", failed).withColumn("kept", ~failed & (F.col("score") >= F.col("threshold")))
 

@@ -6,6 +6,7 @@ from collections import Counter
 import numpy as np
 
 from quern.llm import line_dedup, near_dedup, quality_rules
+from quern.llm.common import exact_quantiles
 
 
 def words(rnd, n):
@@ -102,3 +103,27 @@ def test_rules_verdict(spark):
             assert got[i].kept == (not failed and score(t) > threshold)
     assert not any(got[i].kept for i in range(80, 100))
     assert sum(got[i].kept for i in range(80)) >= 70
+
+
+def test_all_trusted_documents_count(spark):
+    """More trusted documents than any sample of 20,000: every one is in a half, and in what the half is for."""
+    n = 20_500
+    docs = spark.range(n).selectExpr("id AS doc_id", "'ab cd' AS text", "'en' AS lang")
+    labels = spark.range(n).selectExpr("id AS doc_id", "1 AS quality", "0 AS toxic")
+    fit, held = quality_rules.trusted_ids(labels)
+    assert len(fit) + len(held) == n and not set(fit.tolist()) & set(held.tolist())
+    fitted, held_out = quality_rules.halves(labels)
+    raw, target = quality_rules.bucket_counts(docs, fitted)
+    assert raw.sum() == 3 * n and target.sum() == 3 * len(fit)
+    scores = docs.selectExpr("doc_id", "lang", "1D AS byte_perplexity", "doc_id * 1.5D AS perplexity", "doc_id / 7D AS score", "60L AS n_words", "0L AS n_repeat_words")
+    assert quality_rules.threshold_of(scores, held_out) == float(np.quantile(held / 7.0, quality_rules.TRUSTED_SHARE_LOST, method="lower"))
+
+
+def test_exact_quantiles(spark):
+    rnd = random.Random(23)
+    groups = {"a": [rnd.gauss(0, 1) for _ in range(3000)], "b": [5.0] * 40 + [1.0], None: [rnd.choice([1e-9, 2e-9, 3.0, 1e9]) for _ in range(500)], "": [7.0]}
+    rows = spark.createDataFrame([(g, v) for g, vs in groups.items() for v in vs], "grp string, value double")
+    for share, up, method in ((0.01, False, "lower"), (0.5, True, "higher"), (0.99, True, "higher")):
+        want = {g: (len(vs), float(np.quantile(vs, share, method=method))) for g, vs in groups.items()}
+        assert exact_quantiles(rows, share, up) == want
+    assert exact_quantiles(rows.limit(0), 0.5, True) == {}
