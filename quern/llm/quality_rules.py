@@ -48,18 +48,6 @@ def trusted_ids(labels: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return tuple(np.array(sorted(r.doc_id for r in rows if r.held == held), np.int64) for held in (False, True))
 
 
-def among(ids: np.ndarray, sorted_ids: np.ndarray) -> np.ndarray:
-    if not len(sorted_ids):
-        return np.zeros(len(ids), bool)
-    pos = np.minimum(np.searchsorted(sorted_ids, ids), len(sorted_ids) - 1)
-    return sorted_ids[pos] == ids
-
-
-def ids_of(batch: pa.RecordBatch) -> np.ndarray:
-    """The first column's ids; null is the least number."""
-    return batch.column(0).fill_null(-(1 << 63)).to_numpy(zero_copy_only=False)
-
-
 def buckets_of(text: str | None) -> np.ndarray:
     """Buckets of the byte n-grams of the lower-cased words, one space before, between and after."""
     if not text:

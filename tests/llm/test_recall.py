@@ -5,7 +5,7 @@ from collections import Counter
 
 import numpy as np
 
-from quern.llm import line_dedup, near_dedup, quality_rules
+from quern.llm import line_dedup, near_dedup, quality_classifier, quality_rules
 from quern.llm.common import exact_quantiles
 
 
@@ -115,7 +115,11 @@ def test_all_trusted_documents_count(spark):
     fitted, held_out = quality_rules.halves(labels)
     raw, target = quality_rules.bucket_counts(docs, fitted)
     assert raw.sum() == 3 * n and target.sum() == 3 * len(fit)
+    assert quality_classifier.training_counts(docs, fitted).agg({"n": "sum"}).first()[0] == 5 * len(fit)
     scores = docs.selectExpr("doc_id", "lang", "1D AS byte_perplexity", "doc_id * 1.5D AS perplexity", "doc_id / 7D AS score", "60L AS n_words", "0L AS n_repeat_words")
+    by_lang, overall = quality_classifier.language_thresholds(scores, held_out)
+    want = float(np.quantile(held * 1.5, quality_classifier.QUANTILE, method="higher"))
+    assert (by_lang, overall) == ({"en": want}, want)
     assert quality_rules.threshold_of(scores, held_out) == float(np.quantile(held / 7.0, quality_rules.TRUSTED_SHARE_LOST, method="lower"))
 
 
