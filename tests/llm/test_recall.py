@@ -5,6 +5,7 @@ from collections import Counter
 
 import numpy as np
 
+import corpus_pipeline
 from quern.llm import line_dedup, near_dedup, quality_classifier, quality_rules
 from quern.llm.common import exact_quantiles
 
@@ -131,3 +132,21 @@ def test_exact_quantiles(spark):
         want = {g: (len(vs), float(np.quantile(vs, share, method=method))) for g, vs in groups.items()}
         assert exact_quantiles(rows, share, up) == want
     assert exact_quantiles(rows.limit(0), 0.5, True) == {}
+
+
+def test_pipeline_fits_on_all_trusted_in_small_batches(spark, tmp_path, monkeypatch):
+    """The quality stage's model has every trusted document of its half; a stage's settings end with it."""
+    n, seen, counts = 20_500, [], quality_classifier.training_counts
+    docs = spark.range(n).selectExpr("id AS doc_id", "'ab cd' AS text", "'en' AS lang")
+    labels = spark.range(n).selectExpr("id AS doc_id", "1 AS quality", "0 AS toxic")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+
+    def noted(docs, fit):
+        seen.append((fit.count(), {k: spark.conf.get(k, None) for k in corpus_pipeline.SETTINGS}))
+        return counts(docs, fit)
+
+    monkeypatch.setattr(quality_classifier, "training_counts", noted)
+    before = {k: spark.conf.get(k, None) for k in corpus_pipeline.SETTINGS}
+    assert corpus_pipeline.quality(spark, docs, str(tmp_path)).count() == n
+    assert seen == [(len(quality_rules.trusted_ids(labels)[0]), corpus_pipeline.SETTINGS)]
+    assert {k: spark.conf.get(k, None) for k in corpus_pipeline.SETTINGS} == before
