@@ -75,8 +75,20 @@ def document_minimizers(docs: DataFrame, size: int) -> DataFrame:
     return map_batches(need(docs, "doc_id", "text").where("doc_id is not null"), run, "minimizer long, doc_id long")
 
 
+def by_window(hashes: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[np.ndarray | None]]:
+    """Distinct windows of a text, the first start of each, and its other starts; None for most, which start once."""
+    found, first, n = np.unique(hashes, return_index=True, return_counts=True)
+    more = [None] * len(found)
+    if (often := np.flatnonzero(n > 1)).size:
+        order = np.argsort(hashes, kind="stable")
+        ends = np.cumsum(n)
+        for k in often.tolist():
+            more[k] = at[order[ends[k] - n[k] + 1 : ends[k]]]
+    return found, at[first], more
+
+
 def repeated_starts(docs: DataFrame, size: int) -> DataFrame:
-    """doc_id, starts: the windows of each document that also start in a smaller one, in order."""
+    """doc_id, starts: the windows of each document that also start in a smaller one, in any order."""
     found = written(document_minimizers(docs, size), "minimizers")
     repeated = found.groupBy("minimizer").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select("minimizer")
     wanted = found.join(repeated, "minimizer").groupBy("doc_id").agg(F.collect_set("minimizer").alias("wanted"))
@@ -86,13 +98,17 @@ def repeated_starts(docs: DataFrame, size: int) -> DataFrame:
         out = []
         for doc, text, want in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
             h = word_hashes(words(text.as_py()))
-            at = np.flatnonzero(np.isin(minimizers(h, size), want.values.to_numpy().view(np.uint64)))
-            out.append(pa.RecordBatch.from_arrays([pa.array(as_long(rolling(h, size)[at])), pa.array(np.full(len(at), doc), pa.int64()), pa.array(at, pa.int32())], ["window", "doc_id", "start"]))
+            at = np.flatnonzero(np.isin(minimizers(h, size), want.values.to_numpy().view(np.uint64))).astype(np.int32)
+            window, start, more = by_window(rolling(h, size)[at], at)
+            columns = [pa.array(as_long(window)), pa.array(np.full(len(start), doc), pa.int64()), pa.array(start), pa.array(more, pa.list_(pa.int32()))]
+            out.append(pa.RecordBatch.from_arrays(columns, ["window", "doc_id", "start", "more"]))
         return pa.Table.from_batches(out)
 
-    windows = written(map_batches(chosen, run, "window long, doc_id long, start int"), "windows")
+    # a window is a row of its text once, however often it starts there: a short period fills a text with few windows
+    windows = written(map_batches(chosen, run, "window long, doc_id long, start int, more array<int>"), "windows")
     first = windows.groupBy("window").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last").select("window", "first")
-    return windows.join(first, "window").where("first < doc_id").groupBy("doc_id").agg(F.collect_set("start").alias("starts"))
+    gone = windows.join(first, "window").where("first < doc_id").groupBy("doc_id").agg(F.collect_set("start").alias("starts"), F.collect_list("more").alias("more"))
+    return gone.select("doc_id", F.concat("starts", F.flatten("more")).alias("starts"))
 
 
 def _with_starts(docs: DataFrame, size: int, name: str) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from quern.llm import ann, bpe, components, line_dedup, lm_scoring, near_dedup, packing, quality_classifier, quality_rules, queries, substring_dedup, token_counts
+from quern.llm import ann, bpe, common, components, line_dedup, lm_scoring, near_dedup, packing, quality_classifier, quality_rules, queries, substring_dedup, token_counts
 
 SPACES = " \t\n\v\f\r"
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, id long, n long, key string, starts string"
@@ -163,6 +163,24 @@ def test_substrings(docs, empty):
     assert substring_dedup.removal_digests(empty, 50).count() == 0
 
 
+def test_window_of_a_text_is_one_row_however_often_it_starts(spark):
+    """Texts of a short period, with words of their own between: one row of the join for each window and text, not for each start."""
+    texts = [" ".join(["on"] * 60 + [f"own{i}"] + ["tick", "tock"] * 100 + [f"end{i}"] + ["tick", "tock"] * 40) for i in range(6)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    with common.recorded() as tables:
+        starts = {r.doc_id: r.starts for r in substring_dedup.repeated_starts(docs, 50).collect()}
+    (windows,) = (t for t in tables if "/windows-" in t._written_to)
+    assert windows.count() == windows.select("window", "doc_id").distinct().count()
+    first, want = {}, {}
+    for i, t in enumerate(texts):
+        w = words_of(t)
+        here = [tuple(w[k : k + 50]) for k in range(len(w) - 49)]
+        want[i] = [k for k, x in enumerate(here) if first.setdefault(x, i) < i]
+    assert {i: sorted(s) for i, s in starts.items()} == {i: s for i, s in want.items() if s} and len(want[5]) == 193
+    got = by_id(substring_dedup.removal_digests(docs, 50))
+    assert [got[i].n_removed for i in range(6)] == [0, *[60 + 200 + 80] * 5]
+
+
 def test_quality_rules(docs, labels, empty):
     got = by_id(quality_rules.apply_rules(docs, labels))
     for i, t in enumerate(TEXTS):
