@@ -28,6 +28,8 @@ NEVER = np.int64(1) << 60
 CACHE_WORDS = 1_000_000
 #: Characters of text whose new words are encoded together.
 CHUNK_CHARS = 4_000_000
+#: The same for whole words, which are split into strings of ten times as many bytes.
+WORD_CHUNK_CHARS = 1_000_000
 #: Texts in which each character's class is the same for ``re`` and for Unicode's categories.
 _PLAIN = re.compile(r"[^\x00-\x1b\x20-\x84\x86-\xb1\xb4-\xb8\xba\xbb\xbf-ɏ]")
 
@@ -292,17 +294,18 @@ class WordEncoder:
         for w, row in zip(new, pieces, strict=True):
             self.cache[w] = get(row[0]) if len(row) == 1 else b"".join(map(get, row))
 
-    def encode_all(self, texts: list[str | None]) -> list[bytes]:
+    def encode_all(self, texts: list[str | None], cache_words: int = CACHE_WORDS) -> list[bytes]:
         """For each text the ids as little-endian unsigned 32-bit integers; null and empty texts have none.
 
         The strings of special tokens count as those tokens wherever a text holds them. Texts go
-        through in chunks of about CHUNK_CHARS, and a chunk's new words are encoded together.
+        through in chunks of about WORD_CHUNK_CHARS, and a chunk's new words are encoded together.
+        The cache starts afresh above ``cache_words``, of about 125 bytes each.
         """
         out: list[bytes] = []
         at = 0
         while at < len(texts):
             end, chars = at, 0
-            while end < len(texts) and chars < CHUNK_CHARS:
+            while end < len(texts) and chars < WORD_CHUNK_CHARS:
                 chars += len(texts[end] or "")
                 end += 1
             rows = [[] if not t else self.split.split(t) if self.split and "<|" in t else [t] for t in texts[at:end]]
@@ -310,7 +313,7 @@ class WordEncoder:
             parts = [[p if k % 2 else p.split() if not _SEPARATORS.search(p) else _SPACE.split(p) for k, p in enumerate(row)] for row in rows]
             cache = self.cache
             new = list({w for row in parts for part in row[::2] for w in part if w not in cache})
-            if len(cache) + len(new) > CACHE_WORDS:
+            if len(cache) + len(new) > cache_words:
                 cache.clear()
                 new = list({w for row in parts for part in row[::2] for w in part})
             self._learn(new)

@@ -17,8 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quern.llm.bpe import word_encoder
-from quern.llm.common import need, written
+from quern.llm.bpe import CACHE_WORDS, word_encoder
+from quern.llm.common import give_back, need, written
 
 #: Pieces that a packing partition holds on average.
 PARTITION_PIECES = 30_000
@@ -26,7 +26,7 @@ PARTITION_PIECES = 30_000
 ROUNDS = 3
 
 
-def pieces_of(docs: DataFrame, vocabulary: str, capacity: int, end_id: int) -> DataFrame:
+def pieces_of(docs: DataFrame, vocabulary: str, capacity: int, end_id: int, cache_words: int = CACHE_WORDS) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32: each document's ids and ``end_id``, cut only if too long.
 
     Null and empty texts are the end id alone. A copy of a row has pieces of its own.
@@ -34,9 +34,10 @@ def pieces_of(docs: DataFrame, vocabulary: str, capacity: int, end_id: int) -> D
     tail = np.array([end_id], "<u4").tobytes()
 
     def run(batches):
+        give_back()
         for batch in batches:
             rows: list[tuple[int | None, int, int, int, int]] = []
-            for doc, ids in zip(batch.column(0).to_pylist(), word_encoder(vocabulary).encode_all(batch.column(1).to_pylist()), strict=True):
+            for doc, ids in zip(batch.column(0).to_pylist(), word_encoder(vocabulary).encode_all(batch.column(1).to_pylist(), cache_words), strict=True):
                 ids += tail
                 for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[at : at + 4 * capacity]
@@ -137,12 +138,13 @@ def pack(lengths: DataFrame, capacity: int) -> DataFrame:
     return packed.select("uid", (F.shiftleft("part", 32) + F.col("bin")).alias("sequence_id"), "offset")
 
 
-def pack_documents(docs: DataFrame, vocabulary: str, capacity: int, end_id: int = 0) -> DataFrame:
+def pack_documents(docs: DataFrame, vocabulary: str, capacity: int, end_id: int = 0, cache_words: int = CACHE_WORDS) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset: one row per piece.
 
     Pieces as long as a sequence fill one each; all others go through ``pack``. Empty tables give none.
+    A worker's memory grows with ``cache_words``, of words whose tokens it keeps.
     """
-    pieces = written(pieces_of(docs, vocabulary, capacity, end_id).withColumn("uid", F.monotonically_increasing_id()), "pieces")
+    pieces = written(pieces_of(docs, vocabulary, capacity, end_id, cache_words).withColumn("uid", F.monotonically_increasing_id()), "pieces")
     places = pack(pieces.where(F.col("length") < capacity).select("uid", "length"), capacity)
     full = pieces.where(F.col("length") == capacity).withColumn("sequence_id", -1 - F.col("uid")).withColumn("offset", F.lit(0).cast("long"))
     rest = pieces.where(F.col("length") < capacity).join(places, "uid")
