@@ -268,6 +268,24 @@ def test_sketches_let_long_lines_through(spark, tmp_path):
     assert both.count() == len(pairs) and both.where(~line_dedup._may_link("mx", "my", "ox", "oy")).count() == 0
 
 
+def test_bitmaps_part_far_lines(spark):
+    """Pairs at the threshold pass, of any length and with repeated shingles; those at 0.6, which fingerprints of MinHashes let through, don't."""
+    g = np.random.default_rng(7)
+    rows = []
+    for n in (10, 50, 200, 400, 1000, 9000):
+        for jaccard in (0.8, 0.6):
+            for _ in range(40):
+                d = round(n * (1 - jaccard) / (1 + jaccard))
+                x = g.integers(-(2**63), 2**63, n + d).tolist()
+                rows.append((n, jaccard, x[:n] + x[:3], x[d:]))
+    spark.createDataFrame(rows, "n long, j double, x array<long>, y array<long>").coalesce(1).withColumn("pair", F.monotonically_increasing_id()).createOrReplaceTempView("pairs")
+    df = spark.table("pairs")
+    x, y = (line_dedup.bitmaps(df.select(F.col("pair").alias("id"), F.explode(side).alias("h"))).toDF("pair", f"m{side}", f"f{side}") for side in "xy")
+    got = Counter((r.n, r.j) for r in df.join(x, "pair").join(y, "pair").where(line_dedup._alike("mx", "my", "fx", "fy")).select("n", "j").collect())
+    assert all(got[n, 0.8] == 40 for n in (10, 50, 200, 400, 1000, 9000)), got
+    assert all(got[n, 0.6] <= 4 for n in (200, 400)), got
+
+
 def test_packing(docs, empty):
     lib = Tokenizer.from_file(queries.WORD_BPE)
     for capacity in (64, 2048):
