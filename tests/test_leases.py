@@ -40,3 +40,16 @@ def test_leases(spark, tmp_path, cuts):
     dead = spark.read.parquet(f"{tmp_path}/out/dead").collect()
     assert [(r.item, r.attempts, r.owner, r.error) for r in dead] == [("c", 4, "w1", "boom")]
     assert len({r.batch for r in got}) >= 1
+
+
+def test_a_clock_row_beside_numbered_items(spark, tmp_path):
+    """The clock comes in the same batch as the items' events: their numbers stay what they are, beyond what a float holds, too."""
+    big = 2**60 + 1
+    events = [(7, 0, "claim"), (7, 5, "ok"), (big, 1, "claim"), (8, 2, "claim"), (8, 3, "error"), *((i, 4, "claim") for i in range(20, 50))]  # some in the clock's partition
+    rows = [(i, T.format(s // 60, s % 60), n, k, "w1", None) for n, (i, s, k) in enumerate(events)] + [(None, T.format(59, 0), -1, "clock", None, None)]
+    df = spark.createDataFrame(rows, "item long, at string, seq long, kind string, owner string, error string")
+    df.withColumn("at", df["at"].cast("timestamp")).coalesce(1).write.parquet(f"{tmp_path}/log")
+    log = spark.readStream.schema(SCHEMA.replace("item string", "item long")).parquet(f"{tmp_path}/log")
+    leases.run_leases(log, f"{tmp_path}/out", f"{tmp_path}/check", 120, "10 minutes")
+    got = spark.read.schema(leases.TRANSITIONS.format("long")).parquet(f"{tmp_path}/out/transitions").orderBy("at", "seq").collect()
+    assert {i: [r.event for r in got if r.item == i] for i in {r.item for r in got}} == {7: ["claimed", "done"], big: ["claimed", "expired"], 8: ["claimed", "retry"]} | {i: ["claimed", "expired"] for i in range(20, 50)}
