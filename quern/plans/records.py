@@ -11,7 +11,7 @@ from quern.operators.dedupe import latest_wins
 from quern.operators.enrich import document_of, needs_pricing, with_evidence, within_budget
 from quern.plans.record_sql import FILLED, FLD, NOW, REC
 from quern.sinks import export, tabs
-from quern.sinks.documents import hydrated_records, public_documents
+from quern.sinks.documents import hydrated_records, public_document, public_documents
 from quern.sources.records import now, record_view
 
 REQUIRED = ", ".join(f"('{k}', '{f}')" for k, fields in evidence.REQUIRED_FIELDS.items() for f in fields)
@@ -169,16 +169,18 @@ def _legacy(view: DataFrame) -> DataFrame:
 
 def hydrate_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole records read back, and whether their public document, read again, is the same."""
-    found, _ = hydrated_records(_legacy(record_view(spark, sf_dir)))
+    # parsing costs far more than moving rows: they are dealt out evenly, whatever files they lie in
+    view = record_view(spark, sf_dir).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "record_type", "rid")
+    found, _ = hydrated_records(_legacy(view))
     own = F.concat_ws("|", "record_type", "record_key", "source.url")  # keys repeat
-    docs = public_documents(found.withColumn("record_key", own))
-    twice = public_documents(hydrated_records(docs)[0]).select("record_key", F.col("document").alias("again"))
-    facts = found.select(
-        own.alias("own"), "record_key", "record_type", "schema_version", F.col("source.url").alias("url"), F.size(F.json_object_keys(F.to_json("content"))).alias("fields"), F.size("evidence").alias("proofs"),
+    facts = F.struct(
+        "record_key", "record_type", "schema_version", F.col("source.url").alias("url"), F.size(F.json_object_keys(F.to_json("content"))).alias("fields"), F.size("evidence").alias("proofs"),
         F.aggregate("evidence", F.lit(0.0), lambda a, e: a + e["confidence"]).alias("confidence"), F.date_format("collected_at", "yyyy-MM-dd HH:mm").alias("collected"),
     )
-    same = docs.join(twice, "record_key").select(F.col("record_key").alias("own"), (F.col("document") == F.col("again")).alias("same"))
-    return facts.join(same, "own").drop("own")
+    told = found.select(facts.alias("facts"), own.alias("record_key"), *(c for c in found.columns if c != "record_key"))
+    first = told.select("facts", F.explode(F.array(public_document())).alias("document")).withColumn("first", F.col("document"))
+    again, _ = hydrated_records(first, ("facts", "first"))
+    return again.select("facts.*", (F.col("first") == public_document()).alias("same"))
 
 
 def hydrate_aside(spark: SparkSession, sf_dir: str) -> DataFrame:

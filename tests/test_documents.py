@@ -52,3 +52,11 @@ def test_aside(spark):
 def test_no_rows(spark):
     records, aside = hydrated_records(spark.createDataFrame([], "document string"))
     assert records.count() == aside.count() == public_documents(records).where(F.col("document").isNotNull()).count() == 0
+
+
+def test_records_are_read_and_read_again_in_one_pass(spark):
+    """The pages and the events meet in the only join: a record and its public document stay in one row."""
+    from quern.plans import records
+
+    plan = records.hydrate_records(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") == 1
