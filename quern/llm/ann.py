@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quern.llm.common import mixed, written
+from quern.llm.common import BROADCAST_ROWS, mixed, written
 
 #: Tables, least probes of a query in each, and distinct vectors that a bucket holds on average.
 TABLES, PROBES, BUCKET = 6, 24, 320
@@ -78,6 +78,12 @@ class CrossPolytope:
         step = max(1, (1 << 22) // (n * 2 * self.d))
         return np.concatenate([self._probes(vectors[i : i + step], table, n) for i in range(0, len(vectors), step)])
 
+    def meets(self, vectors: np.ndarray, table: int, n: int, homes: np.ndarray) -> np.ndarray:
+        """Whether a vector's bucket of ``homes`` is among its n probes. The probes aren't kept: a few vectors' at a time."""
+        step = max(1, (1 << 19) // (n * 2 * self.d))
+        slices = [slice(i, i + step) for i in range(0, len(vectors), step)]
+        return np.concatenate([(self._probes(vectors[s], table, n) == homes[s, None]).any(axis=1) for s in slices] or [np.zeros(0, bool)])
+
     def _probes(self, vectors: np.ndarray, table: int, n: int) -> np.ndarray:
         rows = np.arange(len(vectors))[:, None]
         keys, cost = np.zeros((len(vectors), 1), np.int64), np.zeros((len(vectors), 1))
@@ -141,13 +147,13 @@ def enough_probes(index: DataFrame, queries: DataFrame, sizes: dict[int, int], k
             continue
         q, x = (np.array([p[j] for p in pairs], np.float64) for j in (0, 1))
         cp = hashers[dim]
-        homes = [cp.buckets(x, t)[:, None] for t in range(tables)]
+        homes = [cp.buckets(x, t) for t in range(tables)]
         while out[dim] < cp.n_buckets:
             met = np.zeros(len(pairs), bool)
             for t in range(tables):
                 left = np.flatnonzero(~met)
                 if len(left):
-                    met[left] = (cp.probes(q[left], t, out[dim]) == homes[t][left]).any(axis=1)
+                    met[left] = cp.meets(q[left], t, out[dim], homes[t][left])
             if met.mean() >= RECALL:
                 break
             out[dim] = min(2 * out[dim], cp.n_buckets)
@@ -193,11 +199,13 @@ def nearest(vectors: DataFrame, k: int, query_every: int, tables: int = TABLES,
     kind = index.schema["v"].dataType.simpleString()
     placed = index.mapInPandas(hashed(False), f"dim int, t int, bucket long, class long, ids array<long>, v {kind}")
     placed = written(placed, "buckets")
-    blocks = placed.groupBy("dim", "t", "bucket").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
+    blocks = written(placed.groupBy("dim", "t", "bucket").agg(F.ceil(F.count("*") / BLOCK).alias("blocks")), "blocks")
+    # a query's probes repeat its vector: by their shuffled bytes they look small enough to send to the driver and all tasks, but aren't
+    blocks = blocks.hint("broadcast" if blocks.count() <= BROADCAST_ROWS else "merge")
     keys = ["dim", "t", "bucket", "block"]
     left = placed.join(blocks, ["dim", "t", "bucket"]).withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")))
     asked = queries.mapInPandas(hashed(True), f"dim int, t int, bucket long, id long, v {kind}")
-    asked = asked.join(blocks.toDF("dim", "t", "bucket", "splits"), ["dim", "t", "bucket"]).withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("splits") - 1)))
+    asked = asked.join(blocks.withColumnRenamed("blocks", "splits"), ["dim", "t", "bucket"]).withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("splits") - 1)))
 
     def rerank(index_pdf: pd.DataFrame, query_pdf: pd.DataFrame) -> pd.DataFrame:
         out = {"query_id": [], "vec_id": [], "score": []}
